@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import exact_dedup, packing, pii, secrets, simhash, training_order, warc
+from millrace.llm import decontaminate, exact_dedup, packing, pii, repeats, secrets, simhash, toxicity, training_order, warc
 from millrace.llm.common import table
 
 
@@ -22,11 +22,26 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate class of every document."""
     return simhash.simhash_components(table(spark, sf_dir, "documents"))
 
 
+def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated passages removed from every document."""
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items verified in the documents."""
+    return decontaminate.contaminations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document."""
     return pii.pii_report(table(spark, sf_dir, "documents"))
@@ -48,7 +63,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_training_order, op2_warc, op4_simhash, op7_pii, op8_packing, op9_secrets, op10_exact_dedup)
+    own = (op1_training_order, op2_warc, op3_toxicity, op4_simhash, op5_repeats, op6_decontamination, op7_pii, op8_packing, op9_secrets, op10_exact_dedup)
     return {f.__name__: f for f in own}
 
 
