@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import fresh, materialize, shuffle_width
+from millrace.llm.common import materialize, shuffle_width
 
 BUDGET = 3
 BITS = 64
@@ -60,14 +60,24 @@ def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id bigint, fp bigint")
 
 
-def _merge(labels: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Labels (smallest member of each component) after linking a[i] - b[i]."""
+def _merge(labels: np.ndarray, a: np.ndarray, b: np.ndarray, used: list | None = None) -> np.ndarray:
+    """Labels (smallest member of each component) after linking a[i] - b[i].
+
+    Each round hooks a root to the smallest root it meets, by one of the given
+    links; ``used`` collects those, which together form a spanning forest.
+    """
     while True:
         x, y = labels[a], labels[b]
         low, high = np.minimum(x, y), np.maximum(x, y)
-        if not (low < high).any():
+        open_ = np.flatnonzero(low < high)
+        if not len(open_):
             return labels
-        np.minimum.at(labels, high, low)
+        a, b, low, high = a[open_], b[open_], low[open_], high[open_]
+        order = np.lexsort((low, high))
+        first = order[np.r_[True, high[order][1:] != high[order][:-1]]]
+        labels[high[first]] = low[first]
+        if used is not None:
+            used.append((a[first], b[first]))
         while True:
             up = labels[labels]
             if (up == labels).all():
@@ -75,10 +85,11 @@ def _merge(labels: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
             labels[:] = up
 
 
-def trie_self_join(group: np.ndarray, value: np.ndarray, budget: int = BUDGET) -> np.ndarray:
+def trie_self_join(group: np.ndarray, value: np.ndarray, budget: int = BUDGET, used: list | None = None) -> np.ndarray:
     """Component labels (positions) of ``value`` under links of at most
     ``budget`` differing bits inside equal ``group``.  Rows must be sorted by
-    (group, value) and distinct; sorted order is the trie, a node a range."""
+    (group, value) and distinct; sorted order is the trie, a node a range.
+    ``used`` collects the links (i, j) of a spanning forest."""
     n = len(value)
     labels = np.arange(n)
     edges = np.flatnonzero(np.r_[True, group[1:] != group[:-1]]) if n else np.zeros(0, np.int64)
@@ -119,7 +130,7 @@ def trie_self_join(group: np.ndarray, value: np.ndarray, budget: int = BUDGET) -
                 i, j = la0[which] + step // wide[which], lb0[which] + step % wide[which]
                 near = (i < j) & (np.bitwise_count(value[i] ^ value[j]) <= budget)
                 if near.any():
-                    labels = _merge(labels, i[near], j[near])
+                    labels = _merge(labels, i[near], j[near], used)
             a0, a1, b0, b1, same = (x[~leaf] for x in (a0, a1, b0, b1, same))
         if not len(a0):
             continue
@@ -133,45 +144,50 @@ def trie_self_join(group: np.ndarray, value: np.ndarray, budget: int = BUDGET) -
     return labels
 
 
-def _forest(batches: Iterator[pa.RecordBatch], budget: int) -> Iterator[pa.RecordBatch]:
-    """Links of one partition: every member to the smallest of its component."""
+def _forest(batches: Iterator[pa.RecordBatch], budget: int, direct: bool) -> Iterator[pa.RecordBatch]:
+    """Links of one partition: every member to the smallest of its component,
+    or, if ``direct``, links that keep the budget themselves."""
     table = pa.Table.from_batches(list(batches))
     if not table.num_rows:
         return
     key = table["key"].to_numpy()
     value = table["fp"].to_numpy().astype(np.int64).view(np.uint64)
+    lane = table["lane"].to_numpy()
     order = np.lexsort((value, key))
-    key, value = key[order], value[order]
-    labels = trie_self_join(key, value, budget)
-    linked = np.flatnonzero(labels != np.arange(len(labels)))
-    if len(linked):
-        yield pa.record_batch([pa.array(value[linked].view(np.int64)), pa.array(value[labels[linked]].view(np.int64))], names=["a", "b"])
-
-
-def _block_key(bits: int, first: int, keep: int, salt: int):
-    """Key of the block that starts ``first`` bits from the right."""
-    return F.struct(F.lit(salt), F.shiftrightunsigned("fp", first).bitwiseAND(F.lit((1 << keep) - 1)))
-
-
-def near_links(distinct: DataFrame, budget: int = BUDGET, hot: int = HOT_KEY) -> DataFrame:
-    """Spanning links (a, b) between distinct fingerprints ``fp``."""
+    key, value, lane = key[order], value[order], lane[order]
+    used: list = []
+    labels = trie_self_join(key, value, budget, used)
+    if direct:
+        x, y = (np.concatenate(p) for p in zip(*used, strict=True)) if used else (labels[:0], labels[:0])
+    else:
+        x = np.flatnonzero(labels != np.arange(len(labels)))
+        y = labels[x]
+    if len(x):
+        signed = value.view(np.int64)
+        yield pa.record_batch([pa.array(lane[x]), pa.array(signed[x]), pa.array(signed[y])], names=["lane", "a", "b"])
+
+
+def near_links(distinct: DataFrame, budget: int = BUDGET, hot: int = HOT_KEY, direct: bool = False) -> DataFrame:
+    """Spanning links (lane, a, b) between the distinct fingerprints ``fp`` of
+    each ``lane`` (int, from 0 to 15)."""
     if budget != BUDGET:
         raise ValueError("blocks are laid out for a budget of three bits")
     width = shuffle_width(distinct.sparkSession)
     blocks = F.array(*[F.struct(F.lit(j).alias("j"), F.shiftrightunsigned("fp", 16 * j).bitwiseAND(F.lit(0xFFFF)).alias("v")) for j in range(4)])
-    dealt = distinct.select("fp", F.explode(blocks).alias("k")).select("fp", (F.col("k.j") * 65536 + F.col("k.v")).alias("key"))
-    # at most 4 * 65536 keys exist, so the list of full ones is small at any size
+    lane = F.col("lane").cast("bigint")
+    dealt = distinct.select("lane", "fp", F.explode(blocks).alias("k")).select("lane", "fp", ((lane * 4 + F.col("k.j")) * 65536 + F.col("k.v")).alias("key"))
+    # at most 16 * 4 * 65536 keys exist, so the list of full ones is small at any size
     full = dealt.groupBy("key").count().where(F.col("count") > hot).select("key", F.lit(True).alias("full"))
     marked = dealt.join(F.broadcast(full), "key", "left")
     rest = [F.struct(F.lit(i).alias("i"), _rest_bits(i).alias("v")) for i in range(4)]
-    finer = marked.where("full").select("fp", "key", F.explode(F.array(*rest)).alias("r"))
-    finer = finer.select("fp", (F.lit(1 << 40) + (F.col("key") * 4 + F.col("r.i")) * 4096 + F.col("r.v")).alias("key"))
-    routed = marked.where(F.col("full").isNull()).select("fp", "key").unionByName(finer)
-    return routed.repartition(width, "key").mapInArrow(functools.partial(_forest, budget=budget), "a bigint, b bigint").distinct()
+    finer = marked.where("full").select("lane", "fp", "key", F.explode(F.array(*rest)).alias("r"))
+    finer = finer.select("lane", "fp", (F.lit(1 << 40) + (F.col("key") * 4 + F.col("r.i")) * 4096 + F.col("r.v")).alias("key"))
+    routed = marked.where(F.col("full").isNull()).select("lane", "fp", "key").unionByName(finer)
+    return routed.repartition(width, "key").mapInArrow(functools.partial(_forest, budget=budget, direct=direct), "lane int, a bigint, b bigint").distinct()
 
 
 def _rest_bits(i: int):
-    """12 bits of the 48 that lie outside the block ``key div 65536``."""
+    """12 bits of the 48 that lie outside the block that ``key`` names."""
     out = None
     for j in range(4):
         outside = [b for b in range(64) if not 16 * j <= b < 16 * (j + 1)][12 * i : 12 * (i + 1)]
@@ -186,7 +202,7 @@ def _rest_bits(i: int):
             part = F.shiftleft(F.shiftrightunsigned("fp", run[0]).bitwiseAND(F.lit((1 << len(run)) - 1)), at)
             value = part if value is None else value.bitwiseOR(part)
             at += len(run)
-        this = F.floor(F.col("key") / 65536) == j
+        this = F.floor(F.col("key") / 65536) % 4 == j
         out = F.when(this, value) if out is None else out.when(this, value)
     return out
 
@@ -227,7 +243,7 @@ def simhash_components(docs: DataFrame, shingle: int = 3, budget: int = BUDGET,
     """
     prints = materialize(fingerprints(docs, shingle), "simhash")
     classes = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-classes")
-    roots = components(near_links(classes.select("fp"), budget, hot))
+    roots = components(near_links(classes.select(F.lit(0).alias("lane"), "fp"), budget, hot))
     rooted = materialize(classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root")), "simhash-roots")
     names = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     of_class = rooted.join(names, "root").select("fp", "component_id")
