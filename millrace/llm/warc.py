@@ -20,13 +20,13 @@ and decodes the chunks.
 from __future__ import annotations
 
 import base64
-import functools
 import hashlib
 import uuid
 import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -118,6 +118,18 @@ def page_records(row: int, page_id: int | None, url: str | None, payload: bytes,
         yield _record(more, part)
 
 
+_STORED = "row bigint, page_id bigint, url string, payload binary, digest string, n bigint"
+
+
+def _stored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows with their digest, and the payload compressed for the shuffle."""
+    for batch in batches:
+        payloads = [p.as_py() for p in batch.column(3)]
+        packer = zstandard.ZstdCompressor(level=3)
+        columns = [pa.array([packer.compress(p) for p in payloads], pa.binary()), pa.array([sha1_base32(p) for p in payloads]), pa.array([len(p) for p in payloads], pa.int64())]
+        yield pa.record_batch([*batch.columns[:3], *columns], names=[f.split()[0] for f in _STORED.split(", ")])
+
+
 def write_archives(pages: DataFrame, out: str, segment_bytes: int = SEGMENT_BYTES, least_bytes: int = 0) -> None:
     """Write ``pages`` (page_id, url, html) as WARC files under ``out``.
 
@@ -126,21 +138,22 @@ def write_archives(pages: DataFrame, out: str, segment_bytes: int = SEGMENT_BYTE
     """
     body = F.encode(F.coalesce(F.col("html").cast("string"), F.lit("")), "UTF-8")
     url = F.col("url").cast("string") if "url" in pages.columns else F.lit(None).cast("string")
-    rows = materialize(pages.select(F.monotonically_increasing_id().alias("row"), F.col("page_id").cast("bigint").alias("page_id"), url.alias("url"), body.alias("payload")).withColumn("digest", F.sha1("payload")).withColumn("n", F.octet_length("payload")), "warc-rows")
+    source = pages.select(F.monotonically_increasing_id().alias("row"), F.col("page_id").cast("bigint").alias("page_id"), url.alias("url"), body.alias("payload"))
+    rows = materialize(source.mapInArrow(_stored, _STORED), "warc-rows")
     first = F.struct(F.col("page_id").isNull().alias("a"), F.col("page_id").alias("b"), F.col("row").alias("c"))
     shared = rows.where(F.col("n") >= least_bytes).groupBy("digest", "n").agg(F.min(first).alias("first"), F.count(F.lit(1)).alias("copies")).where("copies > 1")
     shared = shared.select("digest", "n", F.col("first.c").alias("to_row"), F.col("first.b").alias("to_page"))
     dealt = rows.join(shared, ["digest", "n"], "left")
-    dealt = dealt.select("row", "page_id", "url", F.when(F.col("to_row").isNull() | (F.col("to_row") == F.col("row")), F.col("payload")).alias("payload"), F.unhex("digest").alias("sha1"), F.when(F.col("to_row") != F.col("row"), F.col("to_row")).alias("to_row"), "to_page")
+    dealt = dealt.select("row", "page_id", "url", F.when(F.col("to_row").isNull() | (F.col("to_row") == F.col("row")), F.col("payload")).alias("payload"), "digest", F.when(F.col("to_row") != F.col("row"), F.col("to_row")).alias("to_row"), "to_page")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             made: list[bytes] = []
             held = 0
-            for row, page_id, link, payload, sha1, to_row, to_page in zip(*(c for c in batch.columns), strict=True):
-                origin = None if to_row.as_py() is None else (to_row.as_py(), to_page.as_py())
-                digest = base64.b32encode(sha1.as_py()).decode()
-                for record in page_records(row.as_py(), page_id.as_py(), link.as_py(), payload.as_py() or b"", digest, origin, segment_bytes):
+            for row, page_id, link, packed, digest, to_row, to_page in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                origin = None if to_row is None else (to_row, to_page)
+                payload = b"" if packed is None else zstandard.ZstdDecompressor().decompress(packed)
+                for record in page_records(row, page_id, link, payload, digest, origin, segment_bytes):
                     made.append(member(record))
                     held += len(made[-1])
                 if held > 16 << 20:
