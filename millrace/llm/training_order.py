@@ -24,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -62,12 +63,24 @@ def feistel_slots(numbers: np.ndarray, n: int, key: int = KEY) -> np.ndarray:
     return out.astype(np.int64)
 
 
+def _shrink(ids: np.ndarray, id_bytes: int) -> bytes:
+    """Ids for the way to their shard: by byte planes, compressed."""
+    planes = ids.astype(f"<u{id_bytes}").view(np.uint8).reshape(-1, id_bytes).T
+    return zstandard.ZstdCompressor(level=3).compress(planes.tobytes())
+
+
+def _restore(raw: bytes, id_bytes: int) -> bytes:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8)
+    return planes.reshape(id_bytes, -1).T.tobytes()
+
+
 def stride(seq_len: int = SEQ_LEN, id_bytes: int = ID_BYTES) -> int:
     return 12 + seq_len * id_bytes + 1
 
 
 def sequences(docs: DataFrame, seq_len: int = SEQ_LEN, vocabulary: str | None = None, id_bytes: int = ID_BYTES) -> DataFrame:
-    """(part, idx, n_ids, first_doc, ids): the sequences of each partition."""
+    """(part, idx, n_ids, first_doc, ids): the sequences of each partition; ids
+    are compressed by byte planes."""
     path = vocabulary or default_vocabulary()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -83,7 +96,7 @@ def sequences(docs: DataFrame, seq_len: int = SEQ_LEN, vocabulary: str | None =
                 ids = rest[at : at + seq_len]
                 if id_bytes == 2 and int(ids.max()) > 0xFFFF:
                     raise ValueError("ids over 65535 need id_bytes=4")
-                rows.append((idx, len(ids), owners[k][1], ids.astype(f"<u{id_bytes}").tobytes()))
+                rows.append((idx, len(ids), owners[k][1], _shrink(ids, id_bytes)))
                 at, idx = at + len(ids), idx + 1
             owners = [(p - at, d) for p, d in owners[k:]]
             rest = rest[at:]
@@ -142,7 +155,8 @@ def write_shards(seqs: DataFrame, out: str, per_shard: int = PER_SHARD, seq_len:
         for batch in batches:
             slot, n_ids, first, ids = batch.columns
             rows = []
-            for n, d, raw in zip(n_ids.to_pylist(), first.to_pylist(), ids.to_pylist(), strict=True):
+            for n, d, packed in zip(n_ids.to_pylist(), first.to_pylist(), ids.to_pylist(), strict=True):
+                raw = _restore(packed, id_bytes)
                 pad = END_ID.to_bytes(id_bytes, "little") * ((body - len(raw)) // id_bytes)
                 rows.append(struct.pack("<Iq", n, NO_DOC if d is None else d) + raw + pad)
             yield pa.record_batch([pa.array(slot.to_numpy() // per_shard), slot, pa.array(rows, pa.binary())], names=["shard", "slot", "record"])
