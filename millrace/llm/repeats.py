@@ -37,17 +37,17 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.common import shuffle_width
 
 SPAN = 50
 ANCHOR = 20
+SIDES = ((0, 23), (8, 16), (15, 8), (23, 0))  # a window has l before and 30 - l behind
 PIECE = 1 << 20
 PLACE_BITS = 22
-HOT = 1_000
-BLOCKS_PER_PARTITION = 4
+HOT = 20_000
 NO_ID = (1 << 63) - 1
 BASE = 0x9E3779B97F4A7C15 | 1
 
@@ -78,7 +78,10 @@ class Stretches:
 
     ``start``/``stop``: first and last window of each (places in ``text``);
     ``owner``: piece; ``anchor``: 48-bit anchor hash; ``hash``: 64-bit hash of
-    the stretch's bytes.
+    the stretch's bytes; ``sides``: for each of the pairs ``SIDES`` one byte of
+    a hash of so many bytes before and behind the anchor, 0 where the stretch
+    has fewer.  However a window lies about its anchor, it holds one of these
+    surroundings, so stretches with a window in common agree in one of them.
     """
 
     def __init__(self, pieces: list[bytes]):
@@ -89,6 +92,7 @@ class Stretches:
         none = np.zeros(0, np.int64)
         self.start = self.stop = self.owner = none
         self.anchor = self.hash = none.astype(np.uint64)
+        self.sides = np.zeros(0, np.uint32)
         if n < SPAN:
             return
         with np.errstate(over="ignore"):
@@ -126,8 +130,17 @@ class Stretches:
             sums = np.zeros(n + 1, np.uint64)
             np.cumsum(table[text] * power[:n], out=sums[1:])
             self._sums = sums
-            self.anchor = h[at[self.start]] >> np.uint64(16)
+            # the smallest hashes lie close together; spread them over the buckets
+            self.anchor = _spread(h[at[self.start]]) >> np.uint64(16)
             self.hash = self.hashes(self.start, self.stop + SPAN)
+            place = at[self.start]
+            before, behind = place - self.start, self.stop + SPAN - place - ANCHOR
+            packed = np.zeros((len(place), 4), np.uint8)
+            for k, (left, right) in enumerate(SIDES):
+                there = (before >= left) & (behind >= right)
+                own = self.hashes(np.where(there, place - left, 0), np.where(there, place + ANCHOR + right, 0))
+                packed[:, k] = np.where(there, (own >> np.uint64(48)).astype(np.uint8) | 1, 0)
+            self.sides = packed.view(np.uint32)[:, 0]
 
     def hashes(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Hashes of the byte strings [a, b)."""
@@ -224,12 +237,12 @@ def _send_anchors(buckets: int):
         for lot, where in _pieces(texts):
             s = Stretches(lot)
             owner = ids[np.array([k for k, _ in where], np.int64)][s.owner]
-            found.append((s.hash, owner, s.anchor))
+            found.append((s.hash, owner, s.anchor, s.sides))
         if not found:
             return _table([], _ANCHORS)
-        hashes, owners, more, anchors = _smallest(*(np.concatenate(x) for x in zip(*found, strict=True)))
+        hashes, owners, more, anchors, sides = _smallest(*(np.concatenate(x) for x in zip(*found, strict=True)))
         order = np.argsort(anchors, kind="stable")
-        hashes, owners, more, anchors = hashes[order], owners[order], more[order], anchors[order]
+        hashes, owners, more, anchors, sides = (x[order] for x in (hashes, owners, more, anchors, sides))
         bucket = ((anchors >> np.uint64(16)) * np.uint64(buckets)) >> np.uint64(32)
         edges = np.searchsorted(bucket, np.arange(buckets + 1, dtype=np.uint64))
         rows = []
@@ -242,45 +255,61 @@ def _send_anchors(buckets: int):
                 if narrow is not gaps:
                     narrow[0] = 0
                 ids_out = owners[a:z]
-                rows.append((b, block, _to_blob(first, narrow, hashes[a:z], more[a:z], ids_out.astype("<u4") if 0 <= ids_out.min() and ids_out.max() < 1 << 32 else ids_out)))
+                rows.append((b, block, _to_blob(first, narrow, hashes[a:z], more[a:z], sides[a:z], ids_out.astype("<u4") if 0 <= ids_out.min() and ids_out.max() < 1 << 32 else ids_out)))
         return _table(rows, _ANCHORS)
 
     return run
 
 
+def _agreeing(anchor: np.ndarray, side: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """Which rows share anchor and side with a row of another owner?"""
+    order = np.lexsort((side, anchor))
+    a, s, o = anchor[order], side[order], owner[order]
+    edge = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (s[1:] != s[:-1])])
+    differ = (np.minimum.reduceat(o, edge) != np.maximum.reduceat(o, edge)) & (s[edge] > 0)
+    out = np.zeros(len(order), bool)
+    out[order] = np.repeat(differ, np.diff(np.r_[edge, len(order)]))
+    return out
+
+
 def _answer(hot: int):
     """Step 1, bucket side: what each block is told of its stretches."""
 
     def run(got: pa.Table) -> pa.Table:
-        blocks, anchors, hashes, owners, more = [], [], [], [], []
+        columns: list[list[np.ndarray]] = [[] for _ in range(6)]
         for block, blob in zip(got["block"].to_pylist(), got["blob"].to_pylist(), strict=True):
-            first, gaps, h, m, o = _from_blob(blob)
+            first, gaps, h, m, side, o = _from_blob(blob)
             wide = gaps.astype(np.uint64)
             wide[0] = first[0]
-            anchors.append(np.cumsum(wide, dtype=np.uint64))
-            hashes.append(h)
-            owners.append(o.astype(np.int64))
-            more.append(m)
-            blocks.append(np.full(len(h), block, np.int64))
-        data = [np.concatenate(x) for x in (blocks, anchors, hashes, owners, more)]
+            record = (np.full(len(h), block, np.int64), np.cumsum(wide, dtype=np.uint64), h, o.astype(np.int64), m, side)
+            for column, values in zip(columns, record, strict=True):
+                column.append(values)
+        data = [np.concatenate(x) for x in columns]
         # anchors found in one document only have nothing to tell
         order = np.argsort(data[1], kind="stable")
-        blocks, anchors, hashes, owners, more = (x[order] for x in data)
+        blocks, anchors, hashes, owners, more, sides = (x[order] for x in data)
         edge = np.flatnonzero(np.r_[True, anchors[1:] != anchors[:-1]])
         many = (np.minimum.reduceat(owners, edge) != np.maximum.reduceat(owners, edge)) | (np.maximum.reduceat(more, edge) > 0)
         keep = np.repeat(many, np.diff(np.r_[edge, len(anchors)]))
         if not keep.any():
             return _table([], _TOLD)
-        blocks, anchors, hashes, owners, more = (x[keep] for x in (blocks, anchors, hashes, owners, more))
-        order = np.lexsort((owners, hashes, anchors))
-        blocks, anchors, hashes, owners, more = (x[order] for x in (blocks, anchors, hashes, owners, more))
+        data = [x[keep] for x in (blocks, anchors, hashes, owners, more, sides)]
+        order = np.lexsort((data[3], data[2], data[1]))
+        blocks, anchors, hashes, owners, more, sides = (x[order] for x in data)
         new = np.r_[True, (hashes[1:] != hashes[:-1]) | (anchors[1:] != anchors[:-1])]
         at = np.flatnonzero(new)
         size = np.diff(np.r_[at, len(new)])
         least = np.repeat(owners[at], size)
-        edge = np.flatnonzero(np.r_[True, anchors[at][1:] != anchors[at][:-1]])
-        kinds = np.repeat(np.repeat(np.diff(np.r_[edge, len(at)]), np.diff(np.r_[edge, len(at)])), size)
-        ask = np.where(new & (kinds > 1), np.where(kinds > hot, 2, 1), 0).astype(np.uint8)
+        # of each anchor, the stretches that agree beside it with one that is
+        # at home in another document
+        near = sides[at].view(np.uint8).reshape(-1, len(SIDES))
+        likely = np.zeros(len(at), bool)
+        for k in range(len(SIDES)):
+            likely |= _agreeing(anchors[at], near[:, k], owners[at])
+        which = np.cumsum(np.r_[0, anchors[at][1:] != anchors[at][:-1]])
+        kinds = np.bincount(which, weights=likely)[which]
+        ask = np.zeros(len(new), np.uint8)
+        ask[at] = np.where(likely, np.where(kinds > hot, 2, 1), 0)
         # a stretch in one document is news only if its bytes are asked for
         told = (ask > 0) | (more > 0) | np.repeat(size > 1, size)
         blocks, hashes, least, ask = blocks[told], hashes[told], least[told], ask[told]
@@ -364,16 +393,20 @@ class RunLengthIndex:
         n = len(text)
         around = np.resize(text, n + 7)  # circular: rows are rotations
         words = np.ndarray((n,), dtype=">u8", buffer=around.tobytes(), strides=(1,)).astype(np.uint64)
-        rank, suffix = _ranks(words)
-        width, at_span = 8, None
+        rank = _ranks(words)
+        width, at_span, open_ = 8, None, np.arange(n)
         while True:
             if width * 2 >= span and at_span is None:
-                at_span = _ranks(_pairs(rank, span - width))[0] if span > width else rank
-            if int(rank.max(initial=0)) == n - 1:
+                at_span = _refined(rank, np.arange(n), span - width) if span > width else rank.copy()
+            # positions that still share their rank with another
+            open_ = open_[np.bincount(rank, minlength=n)[rank[open_]] > 1]
+            if not len(open_):
                 break
-            rank, suffix = _ranks(_pairs(rank, width))
+            rank = _refined(rank, open_, width)
             width *= 2
         at_span = rank if at_span is None else at_span
+        suffix = np.empty(n, np.int64)
+        suffix[rank] = np.arange(n)
         self.rows = suffix
         self.class_of_row = at_span[suffix]
         bwt = text[suffix - 1]  # the row of the whole text takes its last byte
@@ -438,20 +471,32 @@ class RunLengthIndex:
             yield live, size[live] - back, q, got + 1
 
 
-def _ranks(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Dense ranks of the keys and the positions in their order."""
-    order = np.argsort(keys, kind="stable")
+def _ranks(keys: np.ndarray) -> np.ndarray:
+    """Rank of each position: how many keys are smaller than its own."""
+    order = np.argsort(keys)
     ordered = keys[order]
+    new = np.r_[True, ordered[1:] != ordered[:-1]]
     rank = np.empty(len(keys), np.int64)
-    rank[order] = np.cumsum(np.r_[0, (ordered[1:] != ordered[:-1]).astype(np.int64)])
-    return rank, order
-
-
-def _pairs(rank: np.ndarray, gap: int) -> np.ndarray:
-    """Key of each position: its rank and that of the position ``gap`` on; the
-    text is taken as circular, so the order of rows is one of rotations and LF
-    holds at the seam as well."""
-    return rank.astype(np.uint64) << np.uint64(32) | np.roll(rank, -gap).astype(np.uint64)
+    rank[order] = np.maximum.accumulate(np.where(new, np.arange(len(keys)), 0))
+    return rank
+
+
+def _refined(rank: np.ndarray, open_: np.ndarray, gap: int) -> np.ndarray:
+    """Ranks by twice as much text: positions of equal rank are ordered by the
+    rank ``gap`` further on.  Only ``open_`` positions can change.  The text is
+    taken as circular, so the rows are rotations and LF holds at the seam."""
+    n = len(rank)
+    further = open_ + gap
+    keys = rank[open_].astype(np.uint64) << np.uint64(32) | rank[np.where(further >= n, further % n, further)].astype(np.uint64)
+    order = np.argsort(keys)
+    ordered = keys[order]
+    place = np.arange(len(order))
+    old = ordered >> np.uint64(32)
+    group = np.maximum.accumulate(np.where(np.r_[True, old[1:] != old[:-1]], place, 0))
+    first = np.maximum.accumulate(np.where(np.r_[True, ordered[1:] != ordered[:-1]], place, 0))
+    out = rank.copy()
+    out[open_[order]] = old.astype(np.int64) + first - group
+    return out
 
 
 def earlier_windows(fragments: list[bytes], owners: np.ndarray, span: int = SPAN) -> list[np.ndarray]:
@@ -464,7 +509,7 @@ def earlier_windows(fragments: list[bytes], owners: np.ndarray, span: int = SPAN
     start = np.cumsum(size + 1) - size - 1
     index = RunLengthIndex(text, span)
     owner_of_place = np.repeat(owners[order], size + 1)
-    least = np.full(int(index.class_of_row.max()) + 1, NO_ID, np.int64)
+    least = np.full(len(text), NO_ID, np.int64)
     np.minimum.at(least, index.class_of_row, owner_of_place[index.rows])
     out = [np.zeros(max(0, n - span + 1), bool) for n in size]
     for live, place, row, matched in index.stream(start, size):
@@ -576,15 +621,26 @@ def remove_repeats(docs: DataFrame, with_text: bool = False, hot: int = HOT) ->
     """
     width = shuffle_width(docs.sparkSession)
     body = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")
-    block = F.pmod(F.xxhash64("doc_id", F.octet_length(body)), F.lit(width * BLOCKS_PER_PARTITION))
+    labels = F.array(*map(F.lit, _labels(docs.sparkSession, width)))
+    block = F.get(labels, F.pmod(F.xxhash64("doc_id", F.octet_length(body)), F.lit(width)).cast("int")).cast("bigint")
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), body.alias("body"), block.alias("block"))
-    told = rows.groupBy("block").applyInArrow(_typed(_send_anchors(width)), _ANCHORS).groupBy("bucket").applyInArrow(_typed(_answer(hot)), _TOLD)
+    placed = lambda df: df.withColumn("bucket", F.get(labels, F.col("bucket")).cast("bigint"))
+    told = placed(rows.groupBy("block").applyInArrow(_typed(_send_anchors(width)), _ANCHORS)).groupBy("bucket").applyInArrow(_typed(_answer(hot)), _TOLD)
     fragments = rows.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(_typed2(_send_fragments(width)), _FRAGMENTS)
-    more = fragments.groupBy("bucket").applyInArrow(_typed(_match), _TOLD)
+    more = placed(fragments).groupBy("bucket").applyInArrow(_typed(_match), _TOLD)
     both = told.unionByName(more)
     return rows.groupBy("block").cogroup(both.groupBy("block")).applyInArrow(_typed2(_clean(with_text)), _CLEANED + ", kept binary" * with_text)
 
 
+def _labels(spark: SparkSession, width: int) -> list[int]:
+    """Group keys of which each lands in a partition of its own, so that every
+    task has one block and one bucket of about the same size."""
+    place = F.pmod(F.hash(F.col("id")), F.lit(width)).alias("place")
+    found = spark.range(40 * width + 400).select("id", place).groupBy("place").agg(F.min("id").alias("id")).collect()
+    got = {r["place"]: r["id"] for r in found}
+    return [got.get(i, 40 * width + 400 + i) for i in range(width)]
+
+
 def _typed(f):
     def run(group: pa.Table) -> pa.Table:
         return f(group)
