@@ -25,6 +25,14 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Texts go to Python at most ``rows`` at a time: a batch of whole texts is
+    held by the JVM and by Python at once, beside whatever else a task needs."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, str(rows))
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
@@ -32,6 +40,7 @@ def scratch(spark: SparkSession, name: str) -> str:
 def materialize(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and continue from the files."""
     spark = df.sparkSession
+    small_batches(spark)
     path = scratch(spark, name)
     writer = df.write.option("compression", "zstd")
     if partition_by:
@@ -41,6 +50,7 @@ def materialize(df: DataFrame, name: str, partition_by: str | None = None) -> Da
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 

@@ -18,16 +18,17 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import fresh, materialize
 from millrace.llm.simhash import _BIT_TABLE, components, near_links
 
-PRINTS = 8
+PRINTS = 6
 SHINGLE = 5
 SIMILARITY = 0.8
-ROUNDS = 3
+ROUNDS = 2
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -60,24 +61,30 @@ def similarity(a: str | None, b: str | None, size: int = SHINGLE) -> float:
 
 
 def _prints(rows: DataFrame, prints: int) -> DataFrame:
+    """Fingerprints, and the whole text compressed for the check of links."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = [word_prints(t.as_py(), prints).view(np.int64) for t in batch.column(1)]
-            yield pa.record_batch([batch.column(0), pa.array(values, pa.list_(pa.int64()))], names=["row", "prints"])
+            texts, packer = batch.column(1).to_pylist(), zstandard.ZstdCompressor(level=3)
+            values = [word_prints(t, prints).view(np.int64) for t in texts]
+            packed = [packer.compress((t or "").encode("utf-8", "surrogatepass")) for t in texts]
+            yield pa.record_batch([batch.column(0), pa.array(values, pa.list_(pa.int64())), pa.array(packed, pa.binary())], names=["row", "prints", "packed"])
 
-    return rows.mapInArrow(run, "row bigint, prints array<bigint>")
+    return rows.mapInArrow(run, "row bigint, prints array<bigint>, packed binary")
 
 
 def _verified(links: DataFrame, texts: DataFrame, least: float) -> DataFrame:
-    """The links (a, b) whose texts are similar enough."""
+    """The links (a, b) whose texts (row, packed) are similar enough."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
-            good = [similarity(x.as_py(), y.as_py()) >= least for x, y in zip(batch.column(2), batch.column(3), strict=True)]
+            pairs = zip(batch.column(2), batch.column(3), strict=True)
+            good = [similarity(unpack(x.as_py()).decode("utf-8", "surrogatepass"), unpack(y.as_py()).decode("utf-8", "surrogatepass")) >= least for x, y in pairs]
             yield pa.record_batch([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    left = links.join(texts.select(F.col("row").alias("a"), F.col("text").alias("x")), "a")
-    both = materialize(left, "near-left").join(texts.select(F.col("row").alias("b"), F.col("text").alias("y")), "b")
+    left = links.join(texts.select(F.col("row").alias("a"), F.col("packed").alias("x")), "a")
+    both = left.join(texts.select(F.col("row").alias("b"), F.col("packed").alias("y")), "b")
     return both.select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint")
 
 
@@ -89,7 +96,8 @@ def near_copies(docs: DataFrame, row: str, prints: int = PRINTS, least: float =
     """
     texts = docs.select(F.col(row).alias("row"), F.col("text").cast("string").alias("text"))
     owners = docs.select(F.col(row).alias("node"), F.struct(F.col("doc_id").isNull().alias("o"), F.col("doc_id").cast("bigint").alias("d"), F.col(row).alias("r")).alias("rank"))
-    lanes = materialize(_prints(texts, prints), "near-prints").select("row", F.posexplode("prints").alias("lane", "fp"))
+    printed = materialize(_prints(texts, prints), "near-prints")
+    lanes = printed.select("row", F.posexplode("prints").alias("lane", "fp"))
     gone = None
     for _ in range(rounds):
         alive = lanes if gone is None else lanes.join(gone, "row", "left_anti")
@@ -99,7 +107,7 @@ def near_copies(docs: DataFrame, row: str, prints: int = PRINTS, least: float =
         between = near.join(side("ra", "a"), ["lane", "a"]).join(side("rb", "b"), ["lane", "b"]).select(F.col("ra").alias("a"), F.col("rb").alias("b"))
         within = alive.join(classes.where("n > 1"), ["lane", "fp"]).where("row != rep").select(F.col("row").alias("a"), F.col("rep").alias("b"))
         links = between.unionByName(within).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct()
-        found = materialize(_verified(links, texts, least), "near-verified")
+        found = materialize(_verified(links, printed.select("row", "packed"), least), "near-verified")
         if found.isEmpty():
             break
         groups = materialize(components(found), "near-groups")

@@ -27,7 +27,8 @@ from millrace.llm.common import materialize, shuffle_width
 
 BUDGET = 3
 BITS = 64
-LEAF_PAIRS = 4096
+CHUNK = 200_000  # node pairs handled at once
+LEAF_PAIRS = 64  # node pairs of so many leaf pairs are compared outright
 HOT_KEY = 2_000
 _BIT_TABLE = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.int64)
 
@@ -95,23 +96,28 @@ def trie_self_join(group: np.ndarray, value: np.ndarray, budget: int = BUDGET, u
     edges = np.flatnonzero(np.r_[True, group[1:] != group[:-1]]) if n else np.zeros(0, np.int64)
     lo, hi = edges, np.r_[edges[1:], n]
     many = hi - lo > 1
-    # stacks by bits that differ so far: near pairs link first and prune the rest
-    stacks: list[list[tuple]] = [[] for _ in range(budget + 1)]
-    stacks[0].append((lo[many], hi[many], lo[many], hi[many], BITS - 1))
+    # frontiers by bits that differ so far, then by depth: near pairs link
+    # first and prune the rest, and all pairs of one frontier descend together
+    frontiers: list[list[list[tuple]]] = [[[] for _ in range(BITS + 1)] for _ in range(budget + 1)]
+    frontiers[0][BITS].append((lo[many], hi[many], lo[many], hi[many]))
 
-    def push(off: int, a0, a1, b0, b1, bit: int) -> None:
+    def push(off: int, a0, a1, b0, b1, depth: int) -> None:
         if off <= budget and len(a0):
             keep = (a1 > a0) & (b1 > b0)
             if keep.any():
-                stacks[off].append((a0[keep], a1[keep], b0[keep], b1[keep], bit))
-
-    while any(stacks):
-        off = next(i for i, s in enumerate(stacks) if s)
-        a0, a1, b0, b1, bit = stacks[off].pop()
-        if len(a0) > 200_000:  # bounded working sets
-            half = len(a0) // 2
-            stacks[off] += [(a0[:half], a1[:half], b0[:half], b1[:half], bit), (a0[half:], a1[half:], b0[half:], b1[half:], bit)]
-            continue
+                frontiers[off][depth].append((a0[keep], a1[keep], b0[keep], b1[keep]))
+
+    def take() -> Iterator[tuple[int, int, tuple]]:
+        for off in range(budget + 1):
+            for depth in range(BITS, -1, -1):
+                if found := frontiers[off][depth]:
+                    whole = [np.concatenate(x) for x in zip(*found, strict=True)]
+                    found.clear()
+                    for at in range(0, len(whole[0]), CHUNK):  # bounded working sets
+                        yield off, depth, tuple(x[at : at + CHUNK] for x in whole)
+
+    for off, depth, (a0, a1, b0, b1) in take():
+        bit = depth - 1
         run = np.maximum.accumulate(np.where(np.r_[True, labels[1:] != labels[:-1]], np.arange(n), 0))
         linked = (run[a1 - 1] <= a0) & (run[b1 - 1] <= b0) & (labels[a0] == labels[b0])
         a0, a1, b0, b1 = (x[~linked] for x in (a0, a1, b0, b1))
@@ -121,7 +127,7 @@ def trie_self_join(group: np.ndarray, value: np.ndarray, budget: int = BUDGET, u
         if not len(a0):
             continue
         pairs = (a1 - a0) * (b1 - b0)
-        leaf = (pairs <= 64) | (bit < 0)
+        leaf = (pairs <= LEAF_PAIRS) | (bit < 0)
         if leaf.any():
             la0, lb0, wide, count = a0[leaf], b0[leaf], (b1 - b0)[leaf], pairs[leaf]
             for piece in np.array_split(np.arange(len(count)), 1 + int(count.sum()) // 2_000_000):
@@ -137,10 +143,10 @@ def trie_self_join(group: np.ndarray, value: np.ndarray, budget: int = BUDGET, u
         ones = np.r_[0, np.cumsum((value >> np.uint64(bit)) & np.uint64(1)).astype(np.int64)]
         am, bm = a1 - (ones[a1] - ones[a0]), b1 - (ones[b1] - ones[b0])
         other = ~same
-        push(off + 1, a0, am, bm, b1, bit - 1)
-        push(off + 1, am[other], a1[other], b0[other], bm[other], bit - 1)
-        push(off, am, a1, bm, b1, bit - 1)
-        push(off, a0, am, b0, bm, bit - 1)
+        push(off + 1, a0, am, bm, b1, bit)
+        push(off + 1, am[other], a1[other], b0[other], bm[other], bit)
+        push(off, am, a1, bm, b1, bit)
+        push(off, a0, am, b0, bm, bit)
     return labels
 
 

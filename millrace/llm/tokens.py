@@ -31,13 +31,8 @@ def default_vocabulary() -> str:
 @functools.lru_cache(maxsize=2)
 def _encoder(path: str):
     """Encoder for one worker process: text -> uint32 ids without the end id."""
-    from tokenizers import Tokenizer
-
-    slow = Tokenizer.from_file(path)
-    slow.encode_special_tokens = True
-
     def by_file(text: str) -> np.ndarray:
-        return np.asarray(slow.encode(text, add_special_tokens=False).ids, dtype="<u4")
+        return np.asarray(_tokenizer(path).encode(text, add_special_tokens=False).ids, dtype="<u4")
 
     ranks_path = path.removesuffix(".json") + ".tiktoken"
     try:
@@ -59,6 +54,15 @@ def _encoder(path: str):
     return by_ranks
 
 
+@functools.lru_cache(maxsize=2)
+def _tokenizer(path: str):
+    from tokenizers import Tokenizer
+
+    found = Tokenizer.from_file(path)
+    found.encode_special_tokens = True
+    return found
+
+
 def encode(text: str | None, path: str) -> np.ndarray:
     """Ids of one document, the end id last.  Null and empty give just that."""
     ids = np.full(1, END_ID, dtype="<u4")
