@@ -9,6 +9,7 @@ from urllib.parse import urljoin
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType
 
 from millrace.functions.profiles import CONJUNCTS, VIRAMA
 
@@ -43,7 +44,7 @@ def similarity(a: str, b: str) -> float:
     return max(matcher_ratio(a, b), prefix_score(a, b))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def similarity_of(a: pd.Series, b: pd.Series) -> pd.Series:
     """Similarity of two columns that are normalised already."""
     return pd.Series([similarity(x or "", y or "") for x, y in zip(a, b, strict=True)], dtype="float64")
@@ -59,7 +60,7 @@ def token_distance(a: list[str], b: list[str]) -> int:
     return row[-1]
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def word_error_rate(ref: pd.Series, hyp: pd.Series) -> pd.Series:
     """Token edits per reference token, of texts normalised already."""
 
@@ -97,7 +98,7 @@ def conjunct_counts(text: str | None) -> Counter:
     return found
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def conjunct_error_rate(ref: pd.Series, hyp: pd.Series) -> pd.Series:
     """Share of the reference's conjuncts that the reading lacks; null if the
     reference has none."""
@@ -109,7 +110,7 @@ def conjunct_error_rate(ref: pd.Series, hyp: pd.Series) -> pd.Series:
     return pd.Series([one(r, h) for r, h in zip(ref, hyp, strict=True)], dtype="float64")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def absolute_url(base: pd.Series, link: pd.Series) -> pd.Series:
     def one(b: str | None, x: str | None) -> str | None:
         try:

@@ -145,8 +145,8 @@ def strong_signals(f: Column) -> Column:
 def scored(df: DataFrame, text: str, profile: Profile = DEVANAGARI, rules: LaneRules | None = None, f: str = "features", score: str = "complexity_score") -> DataFrame:
     """``df`` with the feature struct, score and flags of a text column."""
     rules = rules or LaneRules(allow_ascii_digits=profile.allow_ascii_digits)
-    clean = T.nfc(F.col(text))
-    out = df.withColumn(f, features(clean, profile)).withColumn(score, complexity(F.col(f)))
+    out = df.withColumn("_clean", T.bound(T.nfc(F.col(text)))).withColumn(f, T.bound(features(F.col("_clean"), profile))).drop("_clean")
+    out = out.withColumn(score, complexity(F.col(f)))
     c = F.col(f)
     long_ = too_long(c, rules)
     return out.withColumns(
@@ -197,7 +197,7 @@ def classify(df: DataFrame, text: str = "text", profile: Profile = DEVANAGARI, r
     rules = rules or LaneRules(allow_ascii_digits=profile.allow_ascii_digits)
     out = scored(df, text, profile, rules)
     score = F.col("complexity_score") if score_override is None else F.coalesce(F.col(score_override), F.col("complexity_score"))
-    out = out.withColumn("_lane", lane(rules, None if label is None else F.col(label), score))
+    out = out.withColumn("_lane", T.bound(lane(rules, None if label is None else F.col(label), score)))
     return out.withColumns({n: F.col("_lane")[n] for n in ("difficulty", "complexity_score", "hard_signal_source", "reject_reason")}).drop("_lane")
 
 

@@ -12,6 +12,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from millrace.functions.profiles import ASCII_DIGITS, JOINERS, MATRA, SPACE, VIRAMA, Profile
 
@@ -23,7 +24,7 @@ _UNSTABLE = (
 )
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _nfc(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: None if t is None else unicodedata.normalize("NFC", t))
 
@@ -220,6 +221,12 @@ def is_json(text: Column) -> Column:
     return (text != "") & F.get_json_object(text, "$").isNotNull()
 
 
+def bound(value: Column) -> Column:
+    """``value``, evaluated once however often the result is used: the
+    optimizer does not copy it into what refers to it."""
+    return F.get(F.transform(F.array(value), lambda v: v), F.lit(0))
+
+
 def py_round(value: Column, digits: int) -> Column:
     """Round as Python does: the exact binary value decides, ties to even.
 
@@ -227,13 +234,15 @@ def py_round(value: Column, digits: int) -> Column:
     that a value just beside a tie is told from one on it.
     """
     scale = float(10**digits)
-    value = value.cast("double")
-    split = value * 134217729.0
-    high = split - (split - value)
-    low = value - high
-    product = value * scale
-    error = (high * scale - product) + low * scale
-    base = F.floor(product).cast("double")
-    beyond = (product - base - 0.5) + error
-    up = (beyond > 0) | ((beyond == 0) & (base % 2 != 0))
-    return (base + F.when(up, 1.0).otherwise(0.0)) / scale
+
+    def rounded(v: Column) -> Column:
+        split = v * 134217729.0
+        high = split - (split - v)
+        product = v * scale
+        error = (high * scale - product) + (v - high) * scale
+        base = F.floor(product).cast("double")
+        beyond = (product - base - 0.5) + error
+        up = (beyond > 0) | ((beyond == 0) & (base % 2 != 0))
+        return (base + F.when(up, 1.0).otherwise(0.0)) / scale
+
+    return F.get(F.transform(F.array(value.cast("double")), rounded), F.lit(0))

@@ -102,7 +102,7 @@ def merge_verdicts(df: DataFrame, text: str = "expected_text", profile: Profile
     use = ~skipped & told.isin(*LANES)
     new = S.lane(rules, told, F.col("complexity_score"))
     demoted = S.demote_unconfirmed(F.col("difficulty"), F.col("hard_signal_source"), F.col("is_strong"))
-    df = df.withColumns({"_new": new, "_old": demoted, "_use": use, "_skipped": skipped})
+    df = df.withColumns({"_new": T.bound(new), "_old": T.bound(demoted), "_use": use, "_skipped": skipped})
     pick = lambda c: F.when(F.col("_use"), F.col("_new")[c]).when(F.col("_skipped"), F.col("_old")[c])
     df = df.withColumns({"difficulty": F.coalesce(pick("difficulty"), "difficulty"), "hard_signal_source": F.coalesce(pick("hard_signal_source"), "hard_signal_source"), "complexity_score": F.when(F.col("_use"), F.col("_new.complexity_score")).otherwise(F.col("complexity_score")), "reject_reason": F.coalesce(pick("reject_reason"), "reject_reason"), "lane_applied": F.col("_use")})
     live = ~F.col("_skipped")
@@ -114,7 +114,7 @@ def merge_verdicts(df: DataFrame, text: str = "expected_text", profile: Profile
 def without_verdicts(df: DataFrame) -> DataFrame:
     """The same without a model at all: demote, drop what is demoted."""
     demoted = S.demote_unconfirmed(F.col("difficulty"), F.col("hard_signal_source"), F.col("is_strong"))
-    out = df.withColumn("_d", demoted).withColumns({"difficulty": F.col("_d.difficulty"), "hard_signal_source": F.col("_d.hard_signal_source"), "llm_skipped": F.lit(True), "llm_enabled": F.lit(False), "review_status": F.lit("pending_review")}).drop("_d")
+    out = df.withColumn("_d", T.bound(demoted)).withColumns({"difficulty": F.col("_d.difficulty"), "hard_signal_source": F.col("_d.hard_signal_source"), "llm_skipped": F.lit(True), "llm_enabled": F.lit(False), "review_status": F.lit("pending_review")}).drop("_d")
     return out.where("hard_signal_source != 'demoted_soft_fail'")
 
 
@@ -150,12 +150,12 @@ def accept(df: DataFrame, profile: Profile = DEVANAGARI, rules: S.LaneRules | No
     """
     rules = rules or S.LaneRules(allow_ascii_digits=profile.allow_ascii_digits)
     df = df if "has_verdict" in df.columns else df.withColumn("has_verdict", F.lit(True))
-    df = df.withColumn("_label", choose_label(trust))
+    df = df.withColumn("_label", T.bound(choose_label(trust)))
     skipped = F.coalesce("llm_skipped", F.lit(False)) | ~F.coalesce("llm_enabled", F.lit(True))
     told = verdict_lane()
     derived = F.when((told == "") & ~skipped & F.col("is_complex_for_ocr"), "hard").when((told == "") & ~skipped & ~F.col("is_complex_for_ocr"), "normal").otherwise(told)
     df = df.withColumns({"_told": derived, "_use": F.lit(trust) & ~skipped & derived.isin(*LANES)})
-    df = df.withColumns({"_new": S.lane(rules, F.col("_told"), F.col("complexity_score")), "_old": S.demote_unconfirmed(F.col("difficulty"), F.col("hard_signal_source"), F.col("is_strong"))})
+    df = df.withColumns({"_new": T.bound(S.lane(rules, F.col("_told"), F.col("complexity_score"))), "_old": T.bound(S.demote_unconfirmed(F.col("difficulty"), F.col("hard_signal_source"), F.col("is_strong")))})
     lane = F.when(F.col("_use"), F.col("_new.difficulty")).otherwise(F.col("_old.difficulty"))
     text = F.col("_label.text")
     reason = F.when(F.col("_label.reason").isNotNull(), F.col("_label.reason")).when(text == "", "empty_auto_label")

@@ -119,23 +119,23 @@ def maximal_independent(nodes: DataFrame, edges: DataFrame, rounds: int = 200) -
     ranks below those; the outcome is that of the one-by-one walk.  Rounds are
     cut by checkpoints, so a lost executor repeats one round.
     """
-    kept, open_edges = None, _cut(edges.distinct())
-    open_nodes = _cut(nodes)
+    kept, open_edges = None, cut(edges.distinct())
+    open_nodes = cut(nodes)
     for _ in range(rounds):
         # what has no open neighbour above it stays
-        stays = _cut(open_nodes.join(open_edges.select(F.col("low").alias("node")).distinct(), "node", "left_anti"))
+        stays = cut(open_nodes.join(open_edges.select(F.col("low").alias("node")).distinct(), "node", "left_anti"))
         kept = stays if kept is None else kept.unionByName(stays)
-        goes = _cut(open_edges.join(stays.select(F.col("node").alias("high")), "high", "left_semi").select(F.col("low").alias("node")).distinct())
+        goes = cut(open_edges.join(stays.select(F.col("node").alias("high")), "high", "left_semi").select(F.col("low").alias("node")).distinct())
         settled = stays.unionByName(goes)
-        open_nodes = _cut(open_nodes.join(settled, "node", "left_anti"))
+        open_nodes = cut(open_nodes.join(settled, "node", "left_anti"))
         if open_nodes.isEmpty():
             break
         gone = settled.select(F.col("node").alias("low"))
-        open_edges = _cut(open_edges.join(gone, "low", "left_anti").join(goes.select(F.col("node").alias("high")), "high", "left_anti"))
+        open_edges = cut(open_edges.join(gone, "low", "left_anti").join(goes.select(F.col("node").alias("high")), "high", "left_anti"))
     return kept
 
 
-def _cut(df: DataFrame) -> DataFrame:
+def cut(df: DataFrame) -> DataFrame:
     """Write and read again: the plan starts afresh from files that all
     executors share."""
     spark = df.sparkSession
@@ -158,11 +158,11 @@ def similar_texts(df: DataFrame, seq: str, text: str, least: float = 0.92, keys:
     go to Python.
     """
     keys = keys or []
-    rows = _cut(df.select(*keys, F.col(seq).alias("_seq"), T.for_dedup(F.col(text)).alias("_t")))
+    rows = cut(df.select(*keys, F.col(seq).alias("_seq"), T.for_dedup(F.col(text)).alias("_t")))
     ratio = least / (2 - least)
     texts = rows.select(*keys, "_t").distinct().withColumns({"_n": F.length("_t"), "_h": letter_counts(F.col("_t"))})
     level = F.floor(F.ln(F.greatest(F.col("_n"), F.lit(1)).cast("double")) / F.ln(F.lit(1 / ratio)))
-    wide = _cut(texts.withColumn("_level", level).withColumn("_bucket", F.explode(F.array("_level", F.col("_level") + 1))))
+    wide = cut(texts.withColumn("_level", level).withColumn("_bucket", F.explode(F.array("_level", F.col("_level") + 1))))
     side = lambda x: wide.select(*keys, "_bucket", *[F.col(c).alias(c + x) for c in ("_t", "_n", "_h", "_level")])
     near = side("a").join(side("b"), [*keys, "_bucket"]).where("_ta != _tb AND _bucket = greatest(_levela, _levelb)")
     near = near.where(F.least("_na", "_nb") >= F.greatest("_na", "_nb") * F.lit(ratio - 1e-9))
@@ -170,7 +170,7 @@ def similar_texts(df: DataFrame, seq: str, text: str, least: float = 0.92, keys:
     near = near.where(shared * 2.0 >= (F.col("_na") + F.col("_nb")) * F.lit(least - 1e-9)).select(*keys, F.col("_ta").alias("_a"), F.col("_tb").alias("_b"))
     found = near.withColumn("similarity", similarity_of("_a", "_b")).where(F.col("similarity") >= least)
     same = rows.select(*keys, F.col("_t").alias("_a"), F.col("_t").alias("_b"), F.lit(1.0).alias("similarity")).distinct()
-    kinds = _cut(found.unionByName(same))
+    kinds = cut(found.unionByName(same))
     later = rows.select(*keys, F.col("_seq").alias("later"), F.col("_t").alias("_a"))
     earlier = rows.select(*keys, F.col("_seq").alias("earlier"), F.col("_t").alias("_b"))
     return later.join(kinds, [*keys, "_a"]).join(earlier, [*keys, "_b"]).where("later > earlier").select("later", "earlier", "similarity")
@@ -190,7 +190,7 @@ def drop_similar_texts(df: DataFrame, seq: str, text: str, least: float = 0.92,
     """Greedy by ``prefer`` and length, both falling, then ``seq``: a row goes
     if it is similar to one that stayed.  The rest come in their own order."""
     order = Window.orderBy(F.desc(F.coalesce(F.col(prefer).cast("double"), F.lit(0.0))), F.desc(F.length(F.coalesce(F.col(text), F.lit("")))), seq)
-    ranked = _cut(df.withColumn("_rank", F.row_number().over(order)))
+    ranked = cut(df.withColumn("_rank", F.row_number().over(order)))
     pairs = similar_texts(ranked, "_rank", text, least, keys)
     kept = maximal_independent(ranked.select(F.col("_rank").alias("node")), pairs.select(F.col("later").alias("low"), F.col("earlier").alias("high")))
     return ranked.join(kept.select(F.col("node").alias("_rank")), "_rank", "left_semi").drop("_rank")

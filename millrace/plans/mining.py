@@ -32,7 +32,7 @@ def validate(df: DataFrame, profile: Profile = LATIN, text: str = "text", **limi
 
 
 def select(df: DataFrame, hard: int, normal: int, per_source: int) -> DataFrame:
-    return Q.select_lanes(df, hard, normal, per_source)
+    return Q.select_lanes(D.cut(df), hard, normal, per_source)
 
 
 def package(df: DataFrame, profile: Profile, hard: int, normal: int, per_source: int, near: float = 0.88) -> tuple[DataFrame, DataFrame]:
@@ -41,7 +41,7 @@ def package(df: DataFrame, profile: Profile, hard: int, normal: int, per_source:
     Near copies go first; the best of each lane follow; rows with digits that
     the profile bans go last and are not replaced.
     """
-    gated = A.export_gate(df)
+    gated = D.cut(A.export_gate(df))
     unique = D.drop_similar_texts(gated, "seq", "expected_text", near)
     top = Q.top_of_lanes(unique, hard, normal)
     if not profile.allow_ascii_digits:

@@ -49,6 +49,11 @@ def laned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.classify(lines(spark, sf_dir), "text", LATIN)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """A stage's table, written once for the several uses that follow."""
+    return D.cut(df)
+
+
 def mean4(c: str):
     """Mean of a score with 4 places, free of the order of summation."""
     return (F.sum(F.round(F.col(c) * 10000).cast("bigint")) / F.count(F.lit(1)) / 10000.0).alias("mean_score")
@@ -196,34 +201,34 @@ def prefix_twins(spark, sf_dir):
 
 @query
 def near_dup_pairs(spark, sf_dir):
-    rows = D.first_by(laned(spark, sf_dir).where("difficulty = 'hard'"), ["text"], ["seq"])
+    rows = D.first_by(stored(laned(spark, sf_dir)).where("difficulty = 'hard'"), ["text"], ["seq"])
     return D.similar_text_flags(rows, "seq", "text", 0.92)
 
 
 @query
 def near_dup_drop(spark, sf_dir):
-    rows = laned(spark, sf_dir).where("difficulty = 'hard'")
+    rows = stored(laned(spark, sf_dir).where("difficulty = 'hard'"))
     return D.drop_similar_texts(rows, "seq", "text", 0.92).select("seq", "complexity_score")
 
 
 @query
 def dual_lane_pick(spark, sf_dir):
-    return Q.pick_per_source(laned(spark, sf_dir), 8, 80, 20).select("seq", "source_id", "difficulty", "pick_rank")
+    return Q.pick_per_source(stored(laned(spark, sf_dir)), 8, 80, 20).select("seq", "source_id", "difficulty", "pick_rank")
 
 
 @query
 def global_topk(spark, sf_dir):
-    return Q.dual_lane_top(laned(spark, sf_dir), 200, 80, 20).select("seq", "difficulty", "position")
+    return Q.dual_lane_top(stored(laned(spark, sf_dir)), 200, 80, 20).select("seq", "difficulty", "position")
 
 
 @query
 def lane_select(spark, sf_dir):
-    return Q.select_lanes(laned(spark, sf_dir), 80, 20, 8).select("seq", "source_id", "difficulty", "selection_rank")
+    return Q.select_lanes(stored(laned(spark, sf_dir)), 80, 20, 8).select("seq", "source_id", "difficulty", "selection_rank")
 
 
 @query
 def selection_stats(spark, sf_dir):
-    picked = Q.select_lanes(laned(spark, sf_dir), 80, 20, 8)
+    picked = Q.select_lanes(stored(laned(spark, sf_dir)), 80, 20, 8)
     return Q.selection_stats(picked, 80, 20).withColumnRenamed("difficulty", "lane")
 
 
@@ -274,13 +279,13 @@ def export_gate(spark, sf_dir):
 
 @query
 def export_public(spark, sf_dir):
-    top = Q.top_of_lanes(A.export_gate(accepted(spark, sf_dir)), 80, 20)
+    top = Q.top_of_lanes(stored(A.export_gate(accepted(spark, sf_dir))), 80, 20)
     return A.public_records(top, LATIN, [F.when(F.col("difficulty") == "hard", 0).otherwise(1), F.col("seq")])
 
 
 @query
 def export_report(spark, sf_dir):
-    top = Q.top_of_lanes(A.export_gate(accepted(spark, sf_dir)), 80, 20)
+    top = Q.top_of_lanes(stored(A.export_gate(accepted(spark, sf_dir))), 80, 20)
     report = A.gate_report(top, 80, 20, 8, LATIN)
     return report.withColumn("average_complexity_score", F.round("average_complexity_score", 6))
 
