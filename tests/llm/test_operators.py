@@ -1,0 +1,414 @@
+"""Every operator against a brute-force version, and on odd tables: nulls,
+empty and long texts, ties, repeated rows, no rows, clashing extra columns."""
+
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from millrace.llm import decontaminate, exact_dedup, near_dedup, packing, pii, repeats, secrets, simhash, tokens, toxicity, training_order, warc
+
+WORDS = "lorem ipsum dolor sit amet consectetur adipiscing elit sed do eiusmod tempor incididunt ut labore magna aliqua".split()
+SCHEMA = "doc_id bigint, text string, row string, kind int, score string"
+
+
+def corpus(n=40, seed=1):
+    rng = random.Random(seed)
+    rows = []
+    for i in range(n):
+        rows.append((i, " ".join(rng.choice(WORDS) + rng.choice(["", ",", "é", "."]) for _ in range(rng.randrange(1, 90))), "x", 1, "y"))
+    rows += [(n, rows[3][1], "x", 1, "y"), (n + 1, rows[3][1] + " ", "x", 1, "y"), (n + 1, rows[3][1] + " ", "x", 1, "y")]
+    rows += [(n + 2, None, None, None, None), (n + 3, "", "x", 1, "y"), (None, rows[5][1], "x", 1, "y"), (n + 4, "word " * 9000, "x", 1, "y"), (n + 5, "a" * 5000, "x", 1, "y")]
+    return rows
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.createDataFrame(corpus(), SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def none(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def key(x):
+    return tuple((v is None, v) for v in x)
+
+
+def test_exact_groups(spark, docs):
+    got = exact_dedup.exact_groups(docs).collect()
+    norm = lambda t: re.sub(r"[\x20\x09-\x0D]", "", t or "")
+    groups = {}
+    for doc_id, text, *_ in corpus():
+        groups.setdefault(norm(text), []).append((-len(text or ""), doc_id is None, doc_id or 0, doc_id))
+    want = sorted((key((d[3], min(g)[3], len(g), hashlib.sha256(t.encode()).hexdigest())) for t, g in groups.items() for d in g))
+    assert sorted(key((r["doc_id"], r["keep_id"], r["group_size"], r["text_sha256"])) for r in got) == want
+    assert sum(r["kept"] for r in got) == len(groups)
+    weak = exact_dedup.exact_groups(docs, digest=F.substr("text_sha256", F.lit(1), F.lit(1))).collect()
+    assert sorted(key((r["doc_id"], r["keep_id"], r["group_size"], r["text_sha256"])) for r in weak) == want
+
+
+def test_exact_state_spans_batches(spark, docs):
+    split = docs.repartition(6)
+    one, many = (exact_dedup.exact_groups(split, files_per_trigger=n).groupBy("text_sha256").agg(F.count(F.lit(1)).alias("n"), F.max("group_size").alias("g"), F.sum(F.col("kept").cast("int")).alias("k")) for n in (99, 1))
+    assert sorted(map(tuple, one.collect())) == sorted(map(tuple, many.collect()))
+    assert many.where("n != g OR k != 1").count() == 0
+
+
+def test_exact_drop_keeps_columns(spark, docs, none):
+    kept = exact_dedup.drop_exact_copies(docs)
+    assert kept.columns == docs.columns and kept.count() == exact_dedup.exact_groups(docs).where("kept").count()
+    assert exact_dedup.exact_groups(none).count() == 0 and exact_dedup.drop_exact_copies(none).count() == 0
+
+
+def slow_fingerprint(text, size=3):
+    words = re.findall(rb"[^\x20\x09-\x0D]+", re.sub(rb"[A-Z]", lambda m: m[0].lower(), (text or "").encode()))
+    if not words:
+        return 0
+    shingles = [b" ".join(words[i : i + size]) for i in range(len(words) - size + 1)] or [b" ".join(words)]
+    hashes = [xxhash.xxh64_intdigest(s, 42) for s in shingles]
+    return sum(1 << b for b in range(64) if sum(h >> b & 1 for h in hashes) * 2 > len(hashes))
+
+
+def classes(values, most):
+    parent = list(range(len(values)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i in range(len(values)):
+        for j in range(i):
+            if bin(values[i] ^ values[j]).count("1") <= most:
+                a, b = sorted((find(i), find(j)))
+                parent[b] = a
+    return [find(i) for i in range(len(values))]
+
+
+@pytest.mark.parametrize("hot", [2_000, 1])
+def test_simhash(spark, docs, none, hot):
+    rng = random.Random(4)
+    rows = [(i, t) for i, (_, t, *_) in enumerate(corpus()[:20])]
+    for i, t in rows[:10]:
+        words = (t + " " + " ".join(WORDS * 12)).split()
+        rows.append((100 + i, " ".join(words)))
+        words[rng.randrange(len(words))] = "other"
+        rows.append((200 + i, " ".join(words)))
+    rows += [(300, None), (301, ""), (302, " \t")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("fp", F.lit("clash"))
+    got = {r["doc_id"]: (r["fingerprint"], r["component_id"]) for r in simhash.simhash_components(df, hot=hot).collect()}
+    values = [slow_fingerprint(t) for _, t in rows]
+    roots = classes(values, 3)
+    ids = [i for i, _ in rows]
+    for i, v, r in zip(ids, values, roots, strict=True):
+        assert got[i] == (f"{v:016x}", min(j for j, q in zip(ids, roots, strict=True) if q == r))
+    assert simhash.simhash_components(none).count() == 0
+    assert simhash.simhash_components(docs).count() == docs.count()
+
+
+def test_trie_join_against_all_pairs():
+    rng = np.random.default_rng(7)
+    values = []
+    for _ in range(12):
+        centre = int(rng.integers(0, 2**63))
+        values += [centre ^ sum(1 << int(b) for b in rng.integers(0, 64, rng.integers(0, 5))) for _ in range(40)]
+    values = np.unique(np.array(values, np.uint64))
+    used = []
+    labels = simhash.trie_self_join(np.zeros(len(values), np.int64), values, 3, used)
+    assert labels.tolist() == classes([int(v) for v in values], 3)
+    assert sum(len(a) for a, _ in used) == len(values) - len(set(labels.tolist()))
+    assert all((np.bitwise_count(values[a] ^ values[b]) <= 3).all() for a, b in used)
+
+
+def test_near_copies(spark):
+    rng = random.Random(8)
+    base = [" ".join(rng.choice(WORDS) + str(rng.randrange(99)) for _ in range(150)) for _ in range(12)]
+    rows = [(i, t, "e") for i, t in enumerate(base)]
+    for i, t in enumerate(base[:6]):
+        words = t.split()
+        words[40] = "changed"
+        rows.append((100 + i, " ".join(words), "e"))
+    rows += [(200, None, None), (201, "", "e"), (None, "", "e")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, row string")
+    left = near_dedup.drop_near_copies(df)
+    assert left.columns == df.columns
+    ids = {r["doc_id"] for r in left.collect()}
+    assert set(range(12)) | {200} == ids  # copies and the other empty texts are gone
+    assert near_dedup.similarity(base[0], rows[12][1]) >= 0.8 > near_dedup.similarity(base[0], base[1])
+    assert near_dedup.drop_near_copies(df.where("false")).count() == 0
+
+
+def slow_repeats(rows):
+    seen, out = set(), {}
+    for doc_id in sorted({d for d, _ in rows if d is not None}) + [None]:
+        new = set()
+        for d, t in rows:
+            if d != doc_id:
+                continue
+            b = (t or "").encode()
+            mask = bytearray(len(b))
+            for i in range(len(b) - 49):
+                w = b[i : i + 50]
+                if w in seen:
+                    mask[i : i + 50] = b"\1" * 50
+                new.add(w)
+            kept = bytes(x for x, m in zip(b, mask, strict=True) if not m)
+            spans = sum(1 for i, m in enumerate(mask) if m and not (i and mask[i - 1]))
+            out.setdefault(doc_id, []).append((len(b), sum(mask), spans, hashlib.sha256(kept).hexdigest()))
+        seen |= new
+    return sorted(key((d, *x)) for d, xs in out.items() for x in xs)
+
+
+@pytest.mark.parametrize("hot", [20_000, 1])
+def test_repeats(spark, none, hot):
+    rng = random.Random(6)
+    rows = [(d, t) for d, t, *_ in corpus(60, 9)]
+    passage = " ".join(rng.choice(WORDS) for _ in range(30))
+    for i in range(40):
+        at = rng.randrange(60)
+        rows.append((500 + i, f"{i} {rows[at][1][: rng.randrange(120)]} {passage[rng.randrange(40) :]} {rows[at][1][-70:]}"))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("block", F.lit("clash"))
+    got = repeats.remove_repeats(df, hot=hot).collect()
+    assert sorted(key((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"])) for r in got) == slow_repeats(rows)
+    assert repeats.remove_repeats(none).count() == 0
+
+
+def test_run_length_index_streams_matching_statistics():
+    rng = random.Random(2)
+    text = np.frombuffer("".join(rng.choice("ab") for _ in range(400)).encode() + b"\xfe", np.uint8)
+    index = repeats.RunLengthIndex(text, 6)
+    raw = text.tobytes()
+    rows = [int(np.flatnonzero(index.rows == i)[0]) for i in range(len(raw))]
+    ordered = sorted(range(len(raw)), key=lambda i: raw[i:] + raw[:i])
+    assert [ordered[r] for r in rows] == list(range(len(raw)))
+    for _, place, row, matched in index.stream(np.array([10]), np.array([60])):
+        at = int(index.rows[row[0]])
+        assert raw[at : at + int(matched[0])] == raw[10 + int(place[0]) : 10 + int(place[0]) + int(matched[0])]
+        assert matched[0] == 60 - place[0]
+
+
+def test_packing(spark, docs, none):
+    rows = packing.pack_documents(docs, 256).collect()
+    bins = {}
+    for r in rows:
+        bins.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for places in bins.values():
+        at = 0
+        for offset, length in sorted(places):
+            assert offset == at
+            at += length
+        assert at <= 256
+    by_doc = {}
+    for d, t, *_ in corpus():
+        ids = tokens.encode(t, tokens.default_vocabulary())
+        for piece, (a, b) in enumerate(zip(c := tokens.cut_points(len(ids), 256), [*c[1:], len(ids)], strict=True)):
+            by_doc.setdefault(d, []).append((piece, a, b - a, zlib.crc32(ids[a:b].tobytes())))
+    got = {}
+    for r in rows:
+        got.setdefault(r["doc_id"], []).append((r["piece"], r["start"], r["length"], r["ids_crc32"]))
+    assert {d: sorted(x) for d, x in got.items()} == {d: sorted(x) for d, x in by_doc.items()}
+    assert len(bins) <= packing.lower_bound([r["length"] for r in rows], 256) + 1
+    assert packing.pack_documents(none).count() == 0
+
+
+def test_packing_exchanges(spark):
+    rng = random.Random(3)
+    rows = [(i, 0, 0, rng.choice([5, 30, 90, 140, 200]), i) for i in range(600)]
+    df = spark.createDataFrame(rows, "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint")
+    packed = packing.pack_pieces(df, 256, per_partition=50)
+    assert packed.count() == 600 and packed.select("doc_id").distinct().count() == 600
+    assert packed.groupBy("sequence_id").agg(F.sum("length").alias("n")).where("n > 256").count() == 0
+    used, bound = packed.select("sequence_id").distinct().count(), packing.lower_bound([r[3] for r in rows], 256)
+    assert bound <= used <= bound + 14
+
+
+def test_bounds_never_exceed_a_packing():
+    rng = np.random.default_rng(5)
+    for _ in range(60):
+        sizes = rng.integers(1, 101, rng.integers(1, 60))
+        bins, _ = packing.best_fit_decreasing(sizes, 100)
+        assert -(-int(sizes.sum()) // 100) <= packing.lower_bound(sizes, 100) <= bins.max() + 1
+    assert packing.lower_bound([51] * 7, 100) == 7 and packing.lower_bound([34] * 9, 100) == 5
+
+
+def test_tokens_are_those_of_the_file():
+    from tokenizers import Tokenizer
+
+    path = tokens.default_vocabulary()
+    slow = Tokenizer.from_file(path)
+    slow.encode_special_tokens = True
+    for text in [t for _, t, *_ in corpus() if t] + ["<|endoftext|> x", "  \n\t a'll ½ ١٢ 漢字 🙂", "x" * 3000]:
+        assert tokens.encode(text, path).tolist() == [*slow.encode(text, add_special_tokens=False).ids, 0]
+    assert tokens.encode(None, path).tolist() == tokens.encode("", path).tolist() == [0]
+
+
+def test_training_order(spark, docs, none, tmp_path):
+    for n in (1, 2, 7, 1000, 5000):
+        assert sorted(training_order.feistel_slots(np.arange(n), n).tolist()) == list(range(n))
+    out = f"file://{tmp_path}/shards"
+    rows = training_order.materialize_order(docs, out, seq_len=64, per_shard=16).orderBy("slot").collect()
+    assert [r["slot"] for r in rows] == list(range(len(rows)))
+    assert all(r["byte_offset"] == r["slot"] % 16 * training_order.stride(64) for r in rows)
+    got = sorted(np.concatenate([np.frombuffer(r["ids"], "<u2") for r in rows]).tolist())
+    want = sorted(np.concatenate([tokens.encode(t, tokens.default_vocabulary()) for _, t, *_ in corpus()]).tolist())
+    assert got == want
+    assert training_order.materialize_order(none).count() == 0
+
+
+def test_warc(spark, tmp_path):
+    big = "<p>" + "é\r\n\r\nWARC/1.1\r\n" * 6000
+    rows = [(5, "http://a", "same", 1), (2, "http://b", "same", 1), (2, "http://b", "same", 1), (3, None, None, 1), (4, "http://c\r\nx: y", "", 1), (9, "http://d", big, 1), (None, "http://e", big, 1)]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string, digest int")
+    got = warc.warc_round_trip(df, f"file://{tmp_path}/w", segment_bytes=4096).collect()
+    assert len(got) == len(rows)
+    sha = lambda t: warc.sha1_base32((t or "").encode())
+    seen = sorted(key((r["page_id"], r["payload_bytes"], r["payload_digest"], r["record_type"], r["refers_to"])) for r in got)
+    want = [(5, 4, sha("same"), "revisit", 2), (2, 4, sha("same"), "response", None), (2, 4, sha("same"), "revisit", 2), (3, 0, sha(""), "response", None), (4, 0, sha(""), "revisit", 3), (9, len(big.encode()), sha(big), "response", None), (None, len(big.encode()), sha(big), "revisit", 9)]
+    assert seen == sorted(map(key, want))
+    assert warc.warc_round_trip(df.where("false")).count() == 0
+    broken = warc.read_records(spark, f"file://{tmp_path}/w").where("segment IS NULL OR segment != 2")
+    with pytest.raises(Exception, match="not complete|segments"):
+        warc.reassemble(broken).collect()
+
+
+def spans(pattern, text, good=lambda m: True):
+    return [(m.start(), m.end()) for m in re.finditer(pattern, text) if good(m)]
+
+
+def luhn(digits):
+    total = 0
+    for i, c in enumerate(reversed(digits)):
+        d = int(c) * (2 if i % 2 else 1)
+        total += d - 9 * (d > 9)
+    return total % 10 == 0
+
+
+def only(m):
+    return re.sub("[^0-9]", "", m[0])
+
+
+PII = {
+    "email": (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda m: True),
+    "ip": (r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda m: all(int(p) <= 255 for p in m[0].split("."))),
+    "card": (r"[0-9]([\x20-]?[0-9])+", lambda m: 16 <= len(only(m)) <= 19 and luhn(only(m))),
+    "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", lambda m: 8 <= len(only(m)) <= 15),
+}
+SECRETS = {
+    "assign": (r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", lambda m: len(m[2]) >= 6),
+    "access": (r"AKIA[A-Z0-9]+", lambda m: len(m[0]) >= 20),
+    "hex": (r"[0-9a-f]+", lambda m: len(m[0]) >= 24),
+}
+
+
+def noisy(n, seed):
+    rng = random.Random(seed)
+    parts = ["a@b.com", "a@b.com_x@y.z", "x@y", "1.2.3.4", "0001.255.256.3", "007.0255.1.2.3", "4111 1111 1111 1111", "4111-1111-1111-1112", "4111111111111111 1", "+49 (30) 123-456", "+1", "12.34", "é🙂", " ", "-", "secret:token :abcdefg", "password = 'hunter22'", "API_KEY=abc", "apikey: Zz09+/=_", "token=token=abcdefgh", "AKIA" + "A1" * 9, "AKIAX", "deadbeef" * 3, "cafe", "0" * 30, "\n", "GB82 WEST 1234 5698 7654 32", "ssn 123-45-6789"]
+    return [" ".join(rng.choice(parts) for _ in range(rng.randrange(8))) + rng.choice(["", "".join(rng.choice(parts) for _ in range(6))]) for _ in range(n)]
+
+
+@pytest.mark.parametrize(("report", "base", "by_start"), [(pii.pii_report, PII, False), (secrets.secret_report, SECRETS, True)])
+def test_spans(spark, none, report, base, by_start):
+    texts = [*noisy(300, 5), None, "", "1 " * 20_000, "a." * 5000 + "@", "9" * 20_000, "f" * 9000]
+    df = spark.createDataFrame([(i, t, "k") for i, t in enumerate(texts)], "doc_id bigint, text string, body string")
+    for r in report(df).collect():
+        found = [(k, a, b) for k, (p, ok) in base.items() for a, b in spans(p, texts[r["doc_id"]] or "", ok)]
+        if by_start:
+            found.sort(key=lambda x: (x[1], list(base).index(x[0])))
+        line = ",".join(f"{k}:{a}:{b}" for k, a, b in found)
+        assert r["base_sha256"] == hashlib.sha256(line.encode()).hexdigest(), (r["doc_id"], texts[r["doc_id"]][:200], line, r["spans"])
+        assert [r[f"n_{k}"] for k in base] == [sum(f[0] == k for f in found) for k in base]
+        assert [s for s in r["spans"].split(",") if s.split(":")[0] in base] == [s for s in line.split(",") if s]
+    assert report(none).count() == 0
+
+
+def test_ledger_scans_each_pair_once(spark, tmp_path):
+    ledger = f"file://{tmp_path}/ledger"
+    df = spark.createDataFrame([(1, "password=abcdefgh"), (2, "password=abcdefgh"), (3, "x"), (None, "x")], "doc_id bigint, text string")
+    assert secrets.scan(df, ledger).where("size(assign) = 1").count() == 2
+    first = secrets.read_ledger(spark, ledger).count()
+    assert first == 2 * len(secrets.RULES)
+    assert secrets.scan(df, ledger).count() == 4 and secrets.read_ledger(spark, ledger).count() == first
+    newer = [secrets.Kind("assign", secrets.ASSIGN, version=2), *secrets.RULES[1:]]
+    secrets.scan(df, ledger, newer).count()
+    assert secrets.read_ledger(spark, ledger).count() == first + 2
+
+
+def test_added_kinds_and_redaction(spark):
+    df = spark.createDataFrame([(1, "konto GB82 WEST 1234 5698 7654 32, GB83 WEST 1234 5698 7654 32"), (2, "ssn 123-45-6789"), (3, "code 123-45-6789"), (4, "mail a@b.com now")], "doc_id bigint, text string")
+    got = {r["doc_id"]: r["spans"] for r in pii.pii_report(df).collect()}
+    assert got[1].count("iban") == 1 and "ssn" in got[2] and "ssn" not in got[3]
+    assert {r["doc_id"]: r["text"] for r in pii.redact(df).collect()}[4] == "mail [email] now"
+
+
+def test_decontamination(spark, none):
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    items = [(i, " ".join(word() for _ in range(20)) + ". " + " ".join(word() for _ in range(12)) + ".") for i in range(30)]
+    items += [(90, None), (91, ""), (92, items[0][1]), (93, " ".join(word() for _ in range(200)))]
+    docs = [(i, " ".join(word() for _ in range(rng.randrange(300)))) for i in range(40)]
+    docs += [(100 + i, docs[i][1] + " " + t.upper() + " " + docs[i + 1][1]) for i, (_, t) in enumerate(items[:20])]
+    docs += [(200, items[33][1]), (201, " ".join(items[2][1].split()[:14])), (202, None), (203, ""), (None, items[4][1])]
+    d = spark.createDataFrame(docs, "doc_id bigint, text string").withColumn("score", F.lit("clash"))
+    b = spark.createDataFrame(items, "item_id bigint, text string")
+    want = {(100 + i, i) for i in range(20)} | {(100, 92), (200, 93), (None, 4)}
+    for size in (32 << 20, 2000):
+        assert {(r["doc_id"], r["item_id"]) for r in decontaminate.contaminations(d, b, index_bytes=size).collect()} == want
+    clean = decontaminate.drop_contaminated(d, b)
+    assert clean.columns == d.columns and clean.count() == d.count() - 22
+    assert decontaminate.contaminations(none, b).count() == 0 and decontaminate.contaminations(d, b.where("false")).count() == 0
+
+
+def test_wand_finds_what_scoring_everything_finds():
+    rng = random.Random(12)
+    vocabulary = [f"w{i}" for i in range(60)]
+    texts = [" ".join(rng.choice(vocabulary) for _ in range(rng.randrange(3, 25))) for _ in range(400)]
+    from collections import Counter
+
+    split = [decontaminate.words_of(t) for t in texts]
+    df = Counter(w for ws in split for w in set(ws))
+    index = decontaminate.Index(list(range(400)), texts, 400, dict(df)).build(sum(map(len, split)) / 400)
+    for _ in range(60):
+        query = sorted({index.terms[w] for w in rng.sample(vocabulary, 25)})
+        full = Counter()
+        for t in query:
+            for e, s in zip(*index.postings[t], strict=True):
+                full[e] += s
+        want = {e for e, s in full.items() if s >= 0.5}
+        assert set(index.wand(query, 0.5)) == want
+        terms = np.array(query)
+        assert not want or index.promising(terms, np.array([0]), np.array([len(terms)]), 0.5)[0]
+
+
+def test_toxicity(spark, none):
+    rng = random.Random(13)
+    bad = ["vile", "scoundrel", "wretched", "villain"]
+    rows, labels = [], []
+    for i in range(400):
+        words = [rng.choice(WORDS) + rng.choice(["", "us", "um", "is"]) for _ in range(60)]
+        toxic = i % 4 == 0
+        if toxic:
+            for _ in range(6):
+                words.insert(rng.randrange(60), rng.choice(bad))
+        rows.append((i, " ".join(words), "en"))
+        labels.append((i, 1, int(toxic)))
+    rows += [(1000, None, None), (1001, "", "en"), (None, "vile text", "en")]
+    labels += [(None, 1, 1), (2, None, None), (5000, 0, 1)]
+    d = spark.createDataFrame(rows, "doc_id bigint, text string, score string")
+    y = spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
+    got = toxicity.toxicity_scores(d, y).collect()
+    assert len(got) == len(rows) and all(0 <= r["score"] <= 1 for r in got)
+    assert all(r["held_out"] == (r["doc_id"] is not None and zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1) for r in got)
+    held = [r for r in got if r["held_out"] and r["doc_id"] < 400]
+    right = sum(r["predicted"] == int(r["doc_id"] % 4 == 0) for r in held)
+    assert right / len(held) >= 0.95
+    kept = toxicity.drop_toxic(d, y)
+    assert kept.columns == d.columns and kept.count() == sum(not r["predicted"] for r in got)
+    assert {r["score"] for r in toxicity.toxicity_scores(d, y.where("false")).collect()} == {0.0}
+    assert toxicity.toxicity_scores(none, y).count() == 0
