@@ -153,9 +153,10 @@ def trie_self_join(group: np.ndarray, value: np.ndarray, budget: int = BUDGET, u
 def _forest(batches: Iterator[pa.RecordBatch], budget: int, direct: bool) -> Iterator[pa.RecordBatch]:
     """Links of one partition: every member to the smallest of its component,
     or, if ``direct``, links that keep the budget themselves."""
-    table = pa.Table.from_batches(list(batches))
-    if not table.num_rows:
+    held = [b for b in batches if b.num_rows]
+    if not held:
         return
+    table = pa.Table.from_batches(held)
     key = table["key"].to_numpy()
     value = table["fp"].to_numpy().astype(np.int64).view(np.uint64)
     lane = table["lane"].to_numpy()
