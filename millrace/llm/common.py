@@ -31,6 +31,8 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(key)) <= rows:
         spark.conf.set(key, str(rows))
+    # tables between steps are files, so a step's shuffles can go when it ends
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
 
 
 def scratch(spark: SparkSession, name: str) -> str:
