@@ -222,9 +222,13 @@ def is_json(text: Column) -> Column:
 
 
 def bound(value: Column) -> Column:
-    """``value``, evaluated once however often the result is used: the
-    optimizer does not copy it into what refers to it."""
-    return F.get(F.transform(F.array(value), lambda v: v), F.lit(0))
+    """``value``, evaluated once however often the result is used.
+
+    The condition is always true, but the optimizer takes it for one that is
+    not deterministic; so it neither copies the expression into what refers to
+    it nor pushes filters on it below, which would copy it into the filter.
+    """
+    return F.when(F.spark_partition_id() >= 0, value)
 
 
 def py_round(value: Column, digits: int) -> Column:
