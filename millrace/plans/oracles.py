@@ -272,4 +272,8 @@ ORACLES: dict[str, str] = {
     "render_boxes": f"WITH {BOXES}, e AS (SELECT seq, greatest(0, CAST(round_even(x0 * (600 / 180::DOUBLE), 0) AS INTEGER) - 28) AS l, greatest(0, CAST(round_even(y0 * (600 / 180::DOUBLE), 0) AS INTEGER) - 8) AS t, least(200, CAST(round_even(x1 * (600 / 180::DOUBLE), 0) AS INTEGER) + 28) AS r, least(80, CAST(round_even(y1 * (600 / 180::DOUBLE), 0) AS INTEGER) + 8) AS b FROM boxes) SELECT seq, l AS \"left\", t AS top, r - l AS width, b - t AS height FROM e",
     "image_rules": "WITH i AS (SELECT l_orderkey, l_linenumber, l_partkey, l_partkey % 2000 AS w, l_suppkey % 500 AS h, l_quantity AS q FROM lineitem) SELECT l_orderkey, l_linenumber, l_partkey, concat_ws('|', CASE WHEN w < 800 THEN 'narrow_width' END, CASE WHEN h < 100 THEN 'short_height' END, CASE WHEN h > 400 THEN 'too_tall' END, CASE WHEN w::DOUBLE / greatest(h, 1) < 4.0 THEN 'low_aspect' END, CASE WHEN q < 20 THEN 'blurry' END, CASE WHEN q / 2 < 15 THEN 'low_contrast' END) AS issues FROM i",
     "downloads": "WITH p AS (SELECT page_id AS seq, sha256(html) AS s, page_id % 7 = 0 AS failed, page_id % 5 = 0 AS skipped FROM pages), m AS (SELECT *, NOT failed AND NOT skipped AND row_number() OVER (PARTITION BY s, NOT failed AND NOT skipped ORDER BY seq) = 1 AS fresh FROM p), b AS (SELECT *, coalesce(sum(fresh::INT) OVER (ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM m) SELECT seq, CASE WHEN skipped THEN 'already_ingested' WHEN failed THEN 'failed' WHEN fresh THEN 'new' ELSE 'deduped' END AS status FROM b WHERE before < 100",
+    "global_topk": f"{LANED}, t AS (SELECT seq, difficulty, complexity_score, word_count, row_number() OVER (PARTITION BY difficulty ORDER BY CASE WHEN difficulty = 'hard' THEN complexity_score ELSE word_count::DOUBLE END DESC, seq) AS r, count(*) FILTER (difficulty = 'hard') OVER () AS h, count(*) FILTER (difficulty = 'normal') OVER () AS n FROM laned WHERE difficulty IN ('hard', 'normal')), k1 AS (SELECT *, least(n, 40) AS n0, least(h, 200 - least(n, 40)) AS h0 FROM t), k2 AS (SELECT *, CASE WHEN h0 < 200 - n0 THEN least(n, 200 - h0) ELSE n0 END AS n1 FROM k1), k3 AS (SELECT *, CASE WHEN n1 + h0 < 200 THEN least(h, 200 - n1) ELSE h0 END AS h1 FROM k2) SELECT seq, difficulty, CAST(CASE WHEN difficulty = 'hard' THEN r ELSE h1 + r END AS INTEGER) AS position FROM k3 WHERE r <= CASE WHEN difficulty = 'hard' THEN h1 ELSE n1 END",
+    "quota_scale": "WITH a AS (SELECT o_orderkey, CAST(o_orderkey % 1003 AS INTEGER) AS n FROM orders), b AS (SELECT o_orderkey, CASE WHEN n % 5 <> 0 THEN n END AS t, CASE WHEN n % 7 = 0 THEN n % 90 END AS h, CASE WHEN n % 11 = 0 THEN n % 40 END AS m, CASE WHEN n % 2 = 0 THEN 80 ELSE 3 END AS bh, 20 AS bn FROM a), c AS (SELECT *, CASE WHEN t >= 2 THEN greatest(1, least(t - 1, CAST(round_even(t * (bh::DOUBLE / (bh + bn)), 0) AS INTEGER))) ELSE greatest(0, least(t, CAST(round_even(t * (bh::DOUBLE / (bh + bn)), 0) AS INTEGER))) END AS share FROM b), d AS (SELECT *, CASE WHEN h IS NOT NULL AND m IS NOT NULL THEN h WHEN t IS NOT NULL AND h IS NOT NULL THEN least(h, t) WHEN t IS NOT NULL AND m IS NOT NULL THEN t - least(m, t) WHEN t IS NOT NULL THEN share WHEN h IS NOT NULL THEN h ELSE bh END AS hard_target FROM c) SELECT o_orderkey, hard_target, CASE WHEN h IS NOT NULL AND m IS NOT NULL THEN m WHEN t IS NOT NULL THEN t - hard_target WHEN m IS NOT NULL THEN m ELSE bn END AS normal_target FROM d",
+    "image_verdict": "SELECT doc_id, quality = 1 AS exact_match, quality <> 1 AS visible_differs, CASE WHEN doc_id % 3 = 0 THEN TRUE WHEN doc_id % 3 = 1 THEN FALSE END AS is_complex_for_ocr, CASE WHEN doc_id % 3 = 0 THEN 'hard' WHEN doc_id % 3 = 1 THEN 'normal' END AS suggested_lane, NOT (quality = 1 AND toxic <> 1) AS suspicious FROM labels",
+    "json_extract": "SELECT event_id, props AS json FROM events",
 }
