@@ -5,10 +5,15 @@ similarity: each changed word changes three shingles.  So each text has several
 fingerprints of its distinct words, with independent hashes, and the binary
 tries join every one of them.  What a trie proposes is only a candidate: a link
 counts if the two texts' five-word shingles have a Jaccard similarity of 0.8 or
-more.  Groups are the components of such links, and the row with the smallest
-doc_id stays.  Tries hand out spanning forests, so a link that fails the check
-may stand for one that would not; survivors are therefore joined again until a
-round finds nothing.
+more.  Groups are the components of all such links, and the row with the
+smallest doc_id stays.
+
+Links come in two steps, since a group of thousands of copies has millions.
+First every class of equal fingerprints is a star and the tries hand out
+spanning forests.  A link of these that fails the check may stand for one that
+would not; so in every cluster of candidates that the good links leave in more
+than one piece, all pairs within the budget between different pieces are
+checked.  After that no pair of different groups is unchecked.
 """
 
 from __future__ import annotations
@@ -23,12 +28,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import fresh, materialize
-from millrace.llm.simhash import _BIT_TABLE, components, near_links
+from millrace.llm.simhash import _BIT_TABLE, components, near_links, near_pairs
 
 PRINTS = 6
 SHINGLE = 5
 SIMILARITY = 0.8
-ROUNDS = 2
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -61,20 +65,28 @@ def similarity(a: str | None, b: str | None, size: int = SHINGLE) -> float:
 
 
 def _prints(rows: DataFrame, prints: int) -> DataFrame:
-    """Fingerprints, and the whole text compressed for the check of links."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = [word_prints(t.as_py(), prints).view(np.int64) for t in batch.column(1)]
+            yield pa.record_batch([batch.column(0), pa.array(values, pa.list_(pa.int64()))], names=["row", "prints"])
+
+    return rows.mapInArrow(run, "row bigint, prints array<bigint>")
+
+
+def _packed(texts: DataFrame) -> DataFrame:
+    """Whole texts, compressed for the way to the check of links."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=3).compress
         for batch in batches:
-            texts, packer = batch.column(1).to_pylist(), zstandard.ZstdCompressor(level=3)
-            values = [word_prints(t, prints).view(np.int64) for t in texts]
-            packed = [packer.compress((t or "").encode("utf-8", "surrogatepass")) for t in texts]
-            yield pa.record_batch([batch.column(0), pa.array(values, pa.list_(pa.int64())), pa.array(packed, pa.binary())], names=["row", "prints", "packed"])
+            packed = [pack((t.as_py() or "").encode("utf-8", "surrogatepass")) for t in batch.column(1)]
+            yield pa.record_batch([batch.column(0), pa.array(packed, pa.binary())], names=["row", "packed"])
 
-    return rows.mapInArrow(run, "row bigint, prints array<bigint>, packed binary")
+    return texts.mapInArrow(run, "row bigint, packed binary")
 
 
 def _verified(links: DataFrame, texts: DataFrame, least: float) -> DataFrame:
-    """The links (a, b) whose texts (row, packed) are similar enough."""
+    """The links (a, b) whose texts (row, text) are similar enough."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
@@ -83,12 +95,49 @@ def _verified(links: DataFrame, texts: DataFrame, least: float) -> DataFrame:
             good = [similarity(unpack(x.as_py()).decode("utf-8", "surrogatepass"), unpack(y.as_py()).decode("utf-8", "surrogatepass")) >= least for x, y in pairs]
             yield pa.record_batch([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    left = links.join(texts.select(F.col("row").alias("a"), F.col("packed").alias("x")), "a")
-    both = left.join(texts.select(F.col("row").alias("b"), F.col("packed").alias("y")), "b")
+    ends = links.select(F.col("a").alias("row")).unionByName(links.select(F.col("b").alias("row"))).distinct()
+    # all texts move once; what the two joins move are the texts of links only
+    asked = materialize(_packed(texts).join(ends, "row", "left_semi"), "near-texts")
+    left = links.join(asked.select(F.col("row").alias("a"), F.col("packed").alias("x")), "a")
+    both = left.join(asked.select(F.col("row").alias("b"), F.col("packed").alias("y")), "b")
     return both.select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint")
 
 
-def near_copies(docs: DataFrame, row: str, prints: int = PRINTS, least: float = SIMILARITY, rounds: int = ROUNDS) -> DataFrame:
+def _rooted(links: DataFrame, name: str) -> DataFrame:
+    """(node, root) of every node of the links' components, roots included."""
+    groups = materialize(components(links), name)
+    return groups.select("node", "root").unionByName(groups.select(F.col("root").alias("node"), "root").distinct())
+
+
+def _ordered(links: DataFrame) -> DataFrame:
+    return links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct()
+
+
+def _spanning(lanes: DataFrame) -> DataFrame:
+    """Candidates (a, b) that span every cluster of near fingerprints."""
+    classes = materialize(lanes.groupBy("lane", "fp").agg(F.min("row").alias("rep"), F.count(F.lit(1)).alias("n")), "near-classes")
+    near = near_links(classes.select("lane", "fp"), direct=True)
+    side = lambda new, old: classes.select("lane", F.col("fp").alias(old), F.col("rep").alias(new))
+    between = near.join(side("ra", "a"), ["lane", "a"]).join(side("rb", "b"), ["lane", "b"]).select(F.col("ra").alias("a"), F.col("rb").alias("b"))
+    within = lanes.join(classes.where("n > 1"), ["lane", "fp"]).where("row != rep").select(F.col("row").alias("a"), F.col("rep").alias("b"))
+    return _ordered(between.unionByName(within))
+
+
+def _across(lanes: DataFrame, links: DataFrame, found: DataFrame) -> DataFrame:
+    """All candidates (a, b) between the pieces into which the good links
+    ``found`` part the clusters of ``links``, but for ``links`` themselves."""
+    clusters = _rooted(links, "near-clusters").withColumnRenamed("root", "cluster")
+    pieces = _rooted(found, "near-pieces").withColumnRenamed("root", "label")
+    members = materialize(clusters.join(pieces, "node", "left").select(F.col("node").alias("row"), "cluster", F.coalesce("label", "node").alias("label")), "near-members")
+    parted = members.groupBy("cluster").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x != y").select("cluster")
+    open_ = materialize(lanes.join(members.join(parted, "cluster", "left_semi").select("row", "label"), "row"), "near-open")
+    pairs = near_pairs(open_.select("lane", "fp", "label").distinct())
+    side = lambda n: open_.select("lane", F.col("fp").alias(n), F.col("label").alias(f"l{n}"), F.col("row").alias(f"r{n}"))
+    rows = pairs.join(side("a"), ["lane", "a", "la"]).join(side("b"), ["lane", "b", "lb"])
+    return _ordered(rows.select(F.col("ra").alias("a"), F.col("rb").alias("b"))).join(links, ["a", "b"], "left_anti")
+
+
+def near_copies(docs: DataFrame, row: str, prints: int = PRINTS, least: float = SIMILARITY) -> DataFrame:
     """Numbers (column ``row``) of the rows that near copies of theirs replace.
 
     ``docs`` is a stored table with unique numbers in ``row``.  Null and empty
@@ -96,27 +145,15 @@ def near_copies(docs: DataFrame, row: str, prints: int = PRINTS, least: float =
     """
     texts = docs.select(F.col(row).alias("row"), F.col("text").cast("string").alias("text"))
     owners = docs.select(F.col(row).alias("node"), F.struct(F.col("doc_id").isNull().alias("o"), F.col("doc_id").cast("bigint").alias("d"), F.col(row).alias("r")).alias("rank"))
-    printed = materialize(_prints(texts, prints), "near-prints")
-    lanes = printed.select("row", F.posexplode("prints").alias("lane", "fp"))
-    gone = None
-    for _ in range(rounds):
-        alive = lanes if gone is None else lanes.join(gone, "row", "left_anti")
-        classes = materialize(alive.groupBy("lane", "fp").agg(F.min("row").alias("rep"), F.count(F.lit(1)).alias("n")), "near-classes")
-        near = near_links(classes.select("lane", "fp"), direct=True)
-        side = lambda new, old: classes.select("lane", F.col("fp").alias(old), F.col("rep").alias(new))
-        between = near.join(side("ra", "a"), ["lane", "a"]).join(side("rb", "b"), ["lane", "b"]).select(F.col("ra").alias("a"), F.col("rb").alias("b"))
-        within = alive.join(classes.where("n > 1"), ["lane", "fp"]).where("row != rep").select(F.col("row").alias("a"), F.col("rep").alias("b"))
-        links = between.unionByName(within).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct()
-        found = materialize(_verified(links, printed.select("row", "packed"), least), "near-verified")
-        if found.isEmpty():
-            break
-        groups = materialize(components(found), "near-groups")
-        members = groups.select("node", "root").unionByName(groups.select(F.col("root").alias("node"), "root").distinct())
-        ranked = materialize(members.join(owners, "node"), "near-ranked")
-        best = ranked.groupBy("root").agg(F.min("rank").alias("best"))
-        lost = ranked.join(best, "root").where(F.col("rank.r") != F.col("best.r")).select(F.col("node").alias("row"))
-        gone = materialize(lost if gone is None else gone.unionByName(lost), "near-gone")
-    return gone if gone is not None else texts.select("row").where("false")
+    lanes = materialize(_prints(texts, prints), "near-prints").select("row", F.posexplode("prints").alias("lane", "fp"))
+    links = materialize(_spanning(lanes), "near-links")
+    found = materialize(_verified(links, texts, least), "near-verified")
+    others = materialize(_across(lanes, links, found), "near-others")
+    if not others.isEmpty():
+        found = found.unionByName(materialize(_verified(others, texts, least), "near-verified"))
+    ranked = materialize(_rooted(found, "near-groups").join(owners, "node"), "near-ranked")
+    best = ranked.groupBy("root").agg(F.min("rank").alias("best"))
+    return materialize(ranked.join(best, "root").where(F.col("rank.r") != F.col("best.r")).select(F.col("node").alias("row")), "near-gone")
 
 
 def drop_near_copies(docs: DataFrame, prints: int = PRINTS, least: float = SIMILARITY) -> DataFrame:

@@ -86,13 +86,15 @@ def _merge(labels: np.ndarray, a: np.ndarray, b: np.ndarray, used: list | None =
             labels[:] = up
 
 
-def trie_self_join(group: np.ndarray, value: np.ndarray, budget: int = BUDGET, used: list | None = None) -> np.ndarray:
+def trie_self_join(group: np.ndarray, value: np.ndarray, budget: int = BUDGET, used: list | None = None, known: np.ndarray | None = None) -> np.ndarray:
     """Component labels (positions) of ``value`` under links of at most
     ``budget`` differing bits inside equal ``group``.  Rows must be sorted by
     (group, value) and distinct; sorted order is the trie, a node a range.
-    ``used`` collects the links (i, j) of a spanning forest."""
+    ``used`` collects the links (i, j) of a spanning forest.  With labels that
+    are ``known`` nothing is joined: ``used`` collects every link between
+    different labels, and rows may repeat a value."""
     n = len(value)
-    labels = np.arange(n)
+    labels = np.arange(n) if known is None else known
     edges = np.flatnonzero(np.r_[True, group[1:] != group[:-1]]) if n else np.zeros(0, np.int64)
     lo, hi = edges, np.r_[edges[1:], n]
     many = hi - lo > 1
@@ -135,7 +137,10 @@ def trie_self_join(group: np.ndarray, value: np.ndarray, budget: int = BUDGET, u
                 step = np.arange(len(which)) - np.repeat(np.cumsum(count[piece]) - count[piece], count[piece])
                 i, j = la0[which] + step // wide[which], lb0[which] + step % wide[which]
                 near = (i < j) & (np.bitwise_count(value[i] ^ value[j]) <= budget)
-                if near.any():
+                if known is not None:
+                    near &= labels[i] != labels[j]
+                    used.append((i[near], j[near]))
+                elif near.any():
                     labels = _merge(labels, i[near], j[near], used)
             a0, a1, b0, b1, same = (x[~leaf] for x in (a0, a1, b0, b1, same))
         if not len(a0):
@@ -174,23 +179,54 @@ def _forest(batches: Iterator[pa.RecordBatch], budget: int, direct: bool) -> Ite
         yield pa.record_batch([pa.array(lane[x]), pa.array(signed[x]), pa.array(signed[y])], names=["lane", "a", "b"])
 
 
+def _all_pairs(batches: Iterator[pa.RecordBatch], budget: int) -> Iterator[pa.RecordBatch]:
+    """Every link of one partition between fingerprints of different labels."""
+    held = [b for b in batches if b.num_rows]
+    if not held:
+        return
+    table = pa.Table.from_batches(held)
+    key, fp, label, lane = (table[c].to_numpy() for c in ("key", "fp", "label", "lane"))
+    value = fp.astype(np.int64).view(np.uint64)
+    order = np.lexsort((label, value, key))
+    key, value, label, lane = key[order], value[order], label[order], lane[order]
+    used: list = []
+    trie_self_join(key, value, budget, used, label)
+    signed = value.view(np.int64)
+    for x, y in used:
+        for at in range(0, len(x), CHUNK):
+            i, j = x[at : at + CHUNK], y[at : at + CHUNK]
+            yield pa.record_batch([pa.array(c) for c in (lane[i], signed[i], label[i], signed[j], label[j])], names=["lane", "a", "la", "b", "lb"])
+
+
+def near_pairs(named: DataFrame, budget: int = BUDGET, hot: int = HOT_KEY) -> DataFrame:
+    """All pairs (lane, a, la, b, lb) of near fingerprints whose labels differ,
+    of the distinct rows (lane, fp, label) of ``named``."""
+    routed = _routed(named, budget, hot, "label").repartition(shuffle_width(named.sparkSession), "key")
+    return routed.mapInArrow(functools.partial(_all_pairs, budget=budget), "lane int, a bigint, la bigint, b bigint, lb bigint").distinct()
+
+
 def near_links(distinct: DataFrame, budget: int = BUDGET, hot: int = HOT_KEY, direct: bool = False) -> DataFrame:
     """Spanning links (lane, a, b) between the distinct fingerprints ``fp`` of
     each ``lane`` (int, from 0 to 15)."""
+    routed = _routed(distinct, budget, hot).repartition(shuffle_width(distinct.sparkSession), "key")
+    return routed.mapInArrow(functools.partial(_forest, budget=budget, direct=direct), "lane int, a bigint, b bigint").distinct()
+
+
+def _routed(distinct: DataFrame, budget: int, hot: int, *more: str) -> DataFrame:
+    """Every row once per block, under the key of the block's value."""
     if budget != BUDGET:
         raise ValueError("blocks are laid out for a budget of three bits")
-    width = shuffle_width(distinct.sparkSession)
+    held = ["lane", "fp", *more]
     blocks = F.array(*[F.struct(F.lit(j).alias("j"), F.shiftrightunsigned("fp", 16 * j).bitwiseAND(F.lit(0xFFFF)).alias("v")) for j in range(4)])
     lane = F.col("lane").cast("bigint")
-    dealt = distinct.select("lane", "fp", F.explode(blocks).alias("k")).select("lane", "fp", ((lane * 4 + F.col("k.j")) * 65536 + F.col("k.v")).alias("key"))
+    dealt = distinct.select(*held, F.explode(blocks).alias("k")).select(*held, ((lane * 4 + F.col("k.j")) * 65536 + F.col("k.v")).alias("key"))
     # at most 16 * 4 * 65536 keys exist, so the list of full ones is small at any size
     full = dealt.groupBy("key").count().where(F.col("count") > hot).select("key", F.lit(True).alias("full"))
     marked = dealt.join(F.broadcast(full), "key", "left")
     rest = [F.struct(F.lit(i).alias("i"), _rest_bits(i).alias("v")) for i in range(4)]
-    finer = marked.where("full").select("lane", "fp", "key", F.explode(F.array(*rest)).alias("r"))
-    finer = finer.select("lane", "fp", (F.lit(1 << 40) + (F.col("key") * 4 + F.col("r.i")) * 4096 + F.col("r.v")).alias("key"))
-    routed = marked.where(F.col("full").isNull()).select("lane", "fp", "key").unionByName(finer)
-    return routed.repartition(width, "key").mapInArrow(functools.partial(_forest, budget=budget, direct=direct), "lane int, a bigint, b bigint").distinct()
+    finer = marked.where("full").select(*held, "key", F.explode(F.array(*rest)).alias("r"))
+    finer = finer.select(*held, (F.lit(1 << 40) + (F.col("key") * 4 + F.col("r.i")) * 4096 + F.col("r.v")).alias("key"))
+    return marked.where(F.col("full").isNull()).select(*held, "key").unionByName(finer)
 
 
 def _rest_bits(i: int):

@@ -145,6 +145,31 @@ def test_near_copies(spark):
     assert near_dedup.drop_near_copies(df.where("false")).count() == 0
 
 
+def test_near_copies_behind_rejected_links(spark):
+    rng = random.Random(31)
+    rows = []
+    for i in range(4):
+        words = [f"{rng.choice(WORDS)}{i}x{k}" for k in range(120)]
+        turned = words[:]
+        rng.shuffle(turned)
+        late = [*words[:50], words[51], words[50], *words[52:]]  # same words: one class, its first row in another order
+        rows += [(10 * i, " ".join(turned)), (10 * i + 1, " ".join(words)), (10 * i + 2, " ".join(late))]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
+    assert near_dedup.similarity(rows[1][1], rows[2][1]) >= 0.8 > near_dedup.similarity(rows[0][1], rows[1][1])
+    assert {r["doc_id"] for r in near_dedup.drop_near_copies(df).collect()} == {10 * i + k for i in range(4) for k in (0, 1)}
+
+
+def test_near_pairs_against_all_pairs(spark):
+    rng = random.Random(32)
+    centres = [rng.getrandbits(64) for _ in range(6)]
+    values = [c ^ sum(1 << b for b in rng.sample(range(64), rng.randrange(4))) for c in centres for _ in range(8)]
+    rows = sorted({(0, v - (1 << 64) if v >> 63 else v, rng.randrange(9)) for v in values + values[:10]})
+    want = {frozenset((p[1:], q[1:])) for p in rows for q in rows if p[2] < q[2] and bin((p[1] ^ q[1]) % (1 << 64)).count("1") <= 3}
+    for hot in (2_000, 1):
+        got = simhash.near_pairs(spark.createDataFrame(rows, "lane int, fp bigint, label bigint"), hot=hot).collect()
+        assert {frozenset(((r["a"], r["la"]), (r["b"], r["lb"]))) for r in got} == want
+
+
 def slow_repeats(rows):
     seen, out = set(), {}
     for doc_id in sorted({d for d, _ in rows if d is not None}) + [None]:
