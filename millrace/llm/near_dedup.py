@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from millrace.llm.common import fresh, materialize
 from millrace.llm.simhash import _BIT_TABLE, components, near_links, near_pairs
 
-PRINTS = 6
+PRINTS = 12
 SHINGLE = 5
 SIMILARITY = 0.8
 

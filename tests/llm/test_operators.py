@@ -159,6 +159,20 @@ def test_near_copies_behind_rejected_links(spark):
     assert {r["doc_id"] for r in near_dedup.drop_near_copies(df).collect()} == {10 * i + k for i in range(4) for k in (0, 1)}
 
 
+def test_prints_find_copies_of_four_fifths():
+    rng = random.Random(33)
+    found = []
+    while len(found) < 400:
+        words = [rng.choice(WORDS) + str(rng.randrange(60)) for _ in range(rng.randrange(200, 400))]
+        other = words[:]
+        for at in rng.sample(range(len(words)), max(1, round(len(words) * rng.uniform(0.015, 0.022)))):
+            other[at] = rng.choice(WORDS) + str(rng.randrange(60))
+        a, b = " ".join(words), " ".join(other)
+        if 0.8 <= near_dedup.similarity(a, b) < 0.85:
+            found.append((np.bitwise_count(near_dedup.word_prints(a) ^ near_dedup.word_prints(b)) <= 3).any())
+    assert np.mean(found) >= 0.99
+
+
 def test_near_pairs_against_all_pairs(spark):
     rng = random.Random(32)
     centres = [rng.getrandbits(64) for _ in range(6)]
