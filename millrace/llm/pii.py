@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import text_or_empty
-from millrace.llm.spans import Kind, digits_of, find_spans, joined, luhn, mod97
+from millrace.llm.spans import Kind, accounts, digits_of, find_spans, joined, luhn
 
 
 
@@ -29,7 +29,9 @@ KINDS = [
     # neighbours by looking at what stands before and behind
     Kind("card", r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?+[0-9]){15,18}+(?![\x20-]?[0-9])", (), luhn),
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", ("+",), lambda m: F.length(digits_of(m)).between(8, 15)),
-    Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?+[A-Z0-9]){11,30}+(?![A-Za-z0-9])", (), mod97, base=False, score=0.7, context=r"iban|account|konto|compte|cuenta"),
+    # whatever may belong to a number and the rest of the last word; the numbers
+    # in it end where the checksum says
+    Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?+[A-Z0-9])++[A-Za-z0-9]*+", parts=accounts, base=False, score=0.7, context=r"iban|account|konto|compte|cuenta"),
     Kind("ssn", r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])", ("-",), None, base=False, score=0.3, context=r"\b(?:ssn|social security|sozialversicherung|s[eé]curit[eé] sociale|seguridad social)\b"),
 ]
 

@@ -19,6 +19,11 @@ from pyspark.sql import functions as F
 
 from millrace.llm.common import fresh
 
+_SIZES = """NO15 BE16 DK18 FI18 FO18 GL18 NL18 MK19 SI19 AT20 BA20 EE20 KZ20 LT20 LU20 XK20 CH21 HR21 LI21 LV21 BG22 BH22
+CR22 DE22 GB22 GE22 IE22 ME22 RS22 VA22 AE23 GI23 IL23 IQ23 TL23 AD24 CZ24 ES24 MD24 PK24 RO24 SA24 SE24 SK24 TN24 VG24
+LY25 PT25 ST25 IS26 TR26 FR27 GR27 IT27 MC27 MR27 SM27 AL28 AZ28 BY28 CY28 DO28 GT28 HU28 LB28 PL28 SV28 EG29 BR29 PS29
+QA29 UA29 JO30 KW30 MU30 MT31 SC31 LC32"""
+ACCOUNT_SIZES = {x[:2]: int(x[2:]) for x in _SIZES.split()}
 SPAN = "array<struct<start:int,end:int,match:string>>"
 
 
@@ -26,12 +31,14 @@ SPAN = "array<struct<start:int,end:int,match:string>>"
 class Kind:
     """One kind of span.  ``needs`` are strings one of which every match
     contains (a cheap test before the pattern); ``valid`` judges a match;
+    ``parts`` gives the spans inside a match whose ends no pattern can tell;
     ``score`` and ``context`` weigh kinds that a pattern alone cannot decide."""
 
     name: str
     pattern: str
     needs: tuple[str, ...] = ()
     valid: Callable[[Column], Column] | None = None
+    parts: Callable[[Column], Column] | None = None
     base: bool = True
     score: float = 1.0
     context: str = ""
@@ -67,6 +74,41 @@ def mod97(match: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.length(turned)), F.lit(0), add) == 1
 
 
+def accounts(match: Column) -> Column:
+    """Account numbers inside words divided by single blanks, from left to
+    right: of the ends at a word's end that pass ``mod97``, the one at the
+    country's length, else the last."""
+    words, sizes = F.split(match, " ", -1), F.create_map(*[F.lit(x) for pair in ACCOUNT_SIZES.items() for x in pair])
+    none = F.array().cast(SPAN)
+
+    def ends(near: Column) -> Column:
+        def one(n: Column) -> Column:
+            spaced = F.array_join(F.slice(near, F.lit(1), n), " ")
+            plain = F.regexp_replace(spaced, " ", "")
+            usual = F.coalesce(sizes[F.substr(plain, F.lit(1), F.lit(2))] == F.length(plain), F.lit(False))
+            good = F.when(plain.rlike(r"^[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}$"), mod97(plain)).otherwise(False)
+            return F.struct(good.alias("good"), usual.alias("usual"), F.length(spaced).alias("n"), spaced.alias("match"))
+
+        tried = F.transform(F.sequence(F.lit(1), F.size(near)), one)
+        return F.array_max(F.filter(tried, lambda x: x["good"]))
+
+    def step(acc: Column, word: Column) -> Column:
+        opens = (acc["at"] >= acc["free"]) & word.rlike("^[A-Z]{2}[0-9]{2}")
+        found = F.when(opens, ends(F.slice(acc["words"], acc["i"] + 1, F.lit(31))))
+        stop = acc["at"] + found["n"]
+        span = F.struct(acc["at"].alias("start"), stop.alias("end"), found["match"].alias("match"))
+        return F.struct(
+            acc["words"].alias("words"),
+            (acc["i"] + 1).alias("i"),
+            (acc["at"] + F.length(word) + 1).alias("at"),
+            F.coalesce(stop, acc["free"]).alias("free"),
+            F.when(found.isNotNull(), F.concat(acc["spans"], F.array(span))).otherwise(acc["spans"]).alias("spans"),
+        )
+
+    begin = F.struct(words.alias("words"), F.lit(0).alias("i"), F.lit(0).alias("at"), F.lit(0).alias("free"), none.alias("spans"))
+    return F.aggregate(words, begin, step, lambda acc: acc["spans"])
+
+
 def _found(text: Column, kind: Kind) -> Column:
     found = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))
     if not kind.needs:
@@ -87,6 +129,9 @@ def _placed(text: Column, kind: Kind, found: Column) -> Column:
         start = acc["at"] + F.length(x["g"])
         end = start + F.length(x["m"])
         span = F.struct(start.alias("start"), end.alias("end"), x["m"].alias("match"))
+        if kind.parts:
+            inner = F.transform(kind.parts(x["m"]), lambda p: F.struct((start + p["start"]).alias("start"), (start + p["end"]).alias("end"), p["match"].alias("match")))
+            return F.struct(end.alias("at"), F.concat(acc["spans"], inner).alias("spans"))
         good = kind.valid(x["m"]) if kind.valid else F.lit(True)
         return F.struct(end.alias("at"), F.when(good, F.concat(acc["spans"], F.array(span))).otherwise(acc["spans"]).alias("spans"))
 

@@ -386,6 +386,16 @@ def test_added_kinds_and_redaction(spark):
     assert {r["doc_id"]: r["text"] for r in pii.redact(df).collect()}[4] == "mail [email] now"
 
 
+def test_account_numbers_end_where_the_checksum_says(spark):
+    de, gb = "DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432"
+    texts = [("DE89370400440532013000 Please", [(0, 22)]), (f"{de} BIC COBADEFF", [(0, 27)]), (f"{gb} 2024-01-01", [(0, 22)])]
+    texts += [(f"to {de} {gb} DE89", [(3, 30), (31, 53)]), (f"AB12 3456 {de}", [(10, 37)]), (f"{gb}x {gb}", [(24, 46)]), (f"é DE88 {gb[:-1]}", []), ("AB12 " * 300, [])]
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(texts)], "doc_id bigint, text string")
+    got = {r["doc_id"]: [(s["start"], s["end"]) for s in r["iban"]] for r in pii.find_pii(df).collect()}
+    assert got == {i: want for i, (_, want) in enumerate(texts)}
+    assert all(texts[r["doc_id"]][0][s["start"] : s["end"]] == s["match"] for r in pii.find_pii(df).collect() for s in r["iban"])
+
+
 def test_decontamination(spark, none):
     rng = random.Random(11)
     word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
