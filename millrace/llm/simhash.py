@@ -15,6 +15,7 @@ alternating star contractions on checkpointed edge tables.
 from __future__ import annotations
 
 import functools
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -250,15 +251,18 @@ def _rest_bits(i: int):
     return out
 
 
-def components(links: DataFrame, rounds: int = 60) -> DataFrame:
+def components(links: DataFrame, rounds: int | None = None) -> DataFrame:
     """(node, root) for every node of ``links`` (a, b); root is the smallest
     node reachable.  Large-star and small-star steps alternate on tables
-    written to the shared folder until nothing changes."""
+    written to the shared folder until nothing changes; a limit of ``rounds``
+    that is reached is an error."""
     edges = materialize(links.select(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi")).where("lo < hi").distinct(), "links")
     if edges.isEmpty():
         return edges.select(F.col("hi").alias("node"), F.col("lo").alias("root"))
     last = None
-    for _ in range(rounds):
+    for done in itertools.count():
+        if done == rounds:
+            raise RuntimeError(f"not settled after {rounds} rounds")
         # large star: larger neighbours go to the smallest of the neighbourhood
         both = edges.select(F.col("lo").alias("u"), F.col("hi").alias("v")).unionByName(edges.select(F.col("hi").alias("u"), F.col("lo").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))

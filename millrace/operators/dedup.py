@@ -6,6 +6,7 @@ no qualifying pair can miss, and the exact predicate comes after it.
 
 from __future__ import annotations
 
+import itertools
 import tempfile
 import uuid
 
@@ -111,17 +112,20 @@ def drop_same_boxes(df: DataFrame, keys: list[str], seq: str, box: str, least: f
     return df.join(kept.select(F.col("node").alias(seq)), seq, "left_semi")
 
 
-def maximal_independent(nodes: DataFrame, edges: DataFrame, rounds: int = 200) -> DataFrame:
+def maximal_independent(nodes: DataFrame, edges: DataFrame, rounds: int | None = None) -> DataFrame:
     """Nodes that a greedy walk keeps: a node goes if a kept one ranks above
     it.  ``edges`` has (low, high), the first ranked below the second.
 
     Each round keeps the nodes that nothing open ranks above and drops what
     ranks below those; the outcome is that of the one-by-one walk.  Rounds are
-    cut by checkpoints, so a lost executor repeats one round.
+    cut by checkpoints, so a lost executor repeats one round.  They go on until
+    no node is open; a limit of ``rounds`` that is reached is an error.
     """
     kept, open_edges = None, cut(edges.distinct())
     open_nodes = cut(nodes)
-    for _ in range(rounds):
+    for done in itertools.count():
+        if done == rounds:
+            raise RuntimeError(f"not settled after {rounds} rounds")
         # what has no open neighbour above it stays
         stays = cut(open_nodes.join(open_edges.select(F.col("low").alias("node")).distinct(), "node", "left_anti"))
         kept = stays if kept is None else kept.unionByName(stays)

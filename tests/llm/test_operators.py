@@ -12,6 +12,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from millrace.llm import decontaminate, exact_dedup, near_dedup, packing, pii, repeats, secrets, simhash, tokens, toxicity, training_order, warc
+from millrace.operators import dedup
 
 WORDS = "lorem ipsum dolor sit amet consectetur adipiscing elit sed do eiusmod tempor incididunt ut labore magna aliqua".split()
 SCHEMA = "doc_id bigint, text string, row string, kind int, score string"
@@ -145,6 +146,16 @@ def test_near_copies(spark):
     assert near_dedup.drop_near_copies(df.where("false")).count() == 0
 
 
+def test_rounds_that_run_out_are_an_error(spark):
+    nodes = spark.range(6).withColumnRenamed("id", "node")
+    chain = nodes.where("node > 0").select(F.col("node").alias("low"), (F.col("node") - 1).alias("high"))
+    with pytest.raises(RuntimeError):
+        dedup.maximal_independent(nodes, chain, 2)
+    assert {r["node"] for r in dedup.maximal_independent(nodes, chain).collect()} == {0, 2, 4}
+    with pytest.raises(RuntimeError):
+        simhash.components(chain.toDF("a", "b"), 1)
+
+
 def test_near_copies_behind_rejected_links(spark):
     rng = random.Random(31)
     rows = []
