@@ -12,12 +12,18 @@ Links come in two steps, since a group of thousands of copies has millions.
 First every class of equal fingerprints is a star and the tries hand out
 spanning forests.  A link of these that fails the check may stand for one that
 would not; so in every cluster of candidates that the good links leave in more
-than one piece, all pairs within the budget between different pieces are
-checked.  After that no pair of different groups is unchecked.
+than one piece, the tries meet again and visit all pairs between its pieces.  A
+pair leaves its task only if the counts of the two texts' shingles in
+``BUCKETS`` buckets leave room for the similarity asked for (an upper bound, so
+nothing true is lost).  Of each two pieces the likeliest pairs are checked
+first, eight times as many in each round, and pairs of pieces that have become
+one need no check.  After the last round no pair of different groups is
+unchecked.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,12 +33,14 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import fresh, materialize
-from millrace.llm.simhash import _BIT_TABLE, components, near_links, near_pairs
+from millrace.llm.common import fresh, join_spread, materialize, shuffle_width, tidy
+from millrace.llm.simhash import _BIT_TABLE, components, near_links, routed, trie_self_join
 
 PRINTS = 12
 SHINGLE = 5
 SIMILARITY = 0.8
+BUCKETS = 256
+AT_ONCE = 5_000  # candidates between pieces that are checked without choosing
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -58,10 +66,41 @@ def word_prints(text: str | None, prints: int = PRINTS) -> np.ndarray:
     return out
 
 
+def shingles_of(text: str | None, size: int = SHINGLE) -> set[bytes]:
+    """Distinct word shingles; a shorter text is one, no words are none."""
+    w = words_of(text)
+    return {b" ".join(w[i : i + size]) for i in range(max(1, len(w) - size + 1))} if w else set()
+
+
+def jaccard(x: set, y: set) -> float:
+    """Similarity of two sets; two empty ones are equal."""
+    both = len(x & y)
+    return both / (len(x) + len(y) - both) if x or y else 1.0
+
+
 def similarity(a: str | None, b: str | None, size: int = SHINGLE) -> float:
     """Jaccard similarity of word shingles; texts without words are equal."""
-    x, y = (({tuple(w[i : i + size]) for i in range(max(1, len(w) - size + 1))} if w else set()) for w in (words_of(a), words_of(b)))
-    return len(x & y) / len(x | y) if x or y else 1.0
+    return jaccard(shingles_of(a, size), shingles_of(b, size))
+
+
+def shingle_counts(shingles: set[bytes]) -> bytes:
+    """Number of shingles, and how many of them fall into each bucket."""
+    hashes = np.fromiter((xxhash.xxh64_intdigest(s) for s in shingles), np.uint64, len(shingles))
+    counts = np.bincount((hashes % np.uint64(BUCKETS)).astype(np.int64), minlength=BUCKETS)
+    return np.uint32(len(shingles)).tobytes() + counts.astype("<u1" if counts.max() < 256 else "<u4").tobytes()
+
+
+def counts_of(raw: bytes) -> np.ndarray:
+    """``shingle_counts`` as one row, the number first."""
+    counts = np.frombuffer(raw, "<u1" if len(raw) == 4 + BUCKETS else "<u4", BUCKETS, 4)
+    return np.r_[np.frombuffer(raw, "<u4", 1), counts.astype("<u4")]
+
+
+def most_similar(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Upper bounds of the similarity, from rows of ``shingle_counts``."""
+    both = np.minimum(x[:, 1:], y[:, 1:]).sum(1, dtype=np.int64)
+    union = x[:, 0].astype(np.int64) + y[:, 0] - both
+    return np.where(union > 0, both / np.maximum(union, 1), 1.0)
 
 
 def _prints(rows: DataFrame, prints: int) -> DataFrame:
@@ -74,32 +113,39 @@ def _prints(rows: DataFrame, prints: int) -> DataFrame:
 
 
 def _packed(texts: DataFrame) -> DataFrame:
-    """Whole texts, compressed for the way to the check of links."""
+    """Whole texts, compressed for the way to the check of links, and the
+    counts of their shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=3).compress
         for batch in batches:
-            packed = [pack((t.as_py() or "").encode("utf-8", "surrogatepass")) for t in batch.column(1)]
-            yield pa.record_batch([batch.column(0), pa.array(packed, pa.binary())], names=["row", "packed"])
+            packed, counts = [], []
+            for t in batch.column(1):
+                packed.append(pack((t.as_py() or "").encode("utf-8", "surrogatepass")))
+                counts.append(pack(shingle_counts(shingles_of(t.as_py()))))
+            yield pa.record_batch([batch.column(0), pa.array(packed, pa.binary()), pa.array(counts, pa.binary())], names=["row", "packed", "counts"])
 
-    return texts.mapInArrow(run, "row bigint, packed binary")
+    return texts.mapInArrow(run, "row bigint, packed binary, counts binary")
 
 
-def _verified(links: DataFrame, texts: DataFrame, least: float) -> DataFrame:
-    """The links (a, b) whose texts (row, text) are similar enough."""
+def _verified(links: DataFrame, asked: DataFrame, least: float) -> DataFrame:
+    """The links (a, b) whose texts (row, packed) are similar enough."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
+        of = lambda raw: shingles_of(unpack(raw.as_py()).decode("utf-8", "surrogatepass"))
+        centre, held = None, set()
         for batch in batches:
-            pairs = zip(batch.column(2), batch.column(3), strict=True)
-            good = [similarity(unpack(x.as_py()).decode("utf-8", "surrogatepass"), unpack(y.as_py()).decode("utf-8", "surrogatepass")) >= least for x, y in pairs]
+            good = []
+            for b, x, y in zip(batch.column(1).to_pylist(), batch.column(2), batch.column(3), strict=True):
+                if b != centre:
+                    centre, held = b, of(y)
+                good.append(jaccard(of(x), held) >= least)
             yield pa.record_batch([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    ends = links.select(F.col("a").alias("row")).unionByName(links.select(F.col("b").alias("row"))).distinct()
-    # all texts move once; what the two joins move are the texts of links only
-    asked = materialize(_packed(texts).join(ends, "row", "left_semi"), "near-texts")
     left = links.join(asked.select(F.col("row").alias("a"), F.col("packed").alias("x")), "a")
-    both = left.join(asked.select(F.col("row").alias("b"), F.col("packed").alias("y")), "b")
+    # the smaller end is the centre of a star, in a large class of very many links
+    both = join_spread(left, asked.select(F.col("row").alias("b"), F.col("packed").alias("y")), "b", links, by="a")
     return both.select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint")
 
 
@@ -123,18 +169,73 @@ def _spanning(lanes: DataFrame) -> DataFrame:
     return _ordered(between.unionByName(within))
 
 
-def _across(lanes: DataFrame, links: DataFrame, found: DataFrame) -> DataFrame:
-    """All candidates (a, b) between the pieces into which the good links
+def _likely(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
+    """Pairs of one partition's rows that are near, differ in their label and
+    may be similar enough by their counts."""
+    held = [b for b in batches if b.num_rows]
+    if not held:
+        return
+    whole = pa.Table.from_batches(held)
+    key, fp, label, row = (whole[c].to_numpy() for c in ("key", "fp", "label", "row"))
+    value = fp.astype(np.int64).view(np.uint64)
+    order = np.lexsort((label, value, key))
+    key, value, label, row = key[order], value[order], label[order], row[order]
+    # a row comes once per lane and block; its counts are held once
+    rows, first, which = np.unique(row, return_index=True, return_inverse=True)
+    unpack = zstandard.ZstdDecompressor().decompress
+    packed = whole["counts"]
+    counts = np.stack([counts_of(unpack(packed[int(order[i])].as_py())) for i in first])
+    seen: dict = {}
+
+    def check(i: np.ndarray, j: np.ndarray) -> None:
+        a, b = which[i], which[j]
+        pairs = np.unique(np.maximum(a, b) * len(rows) + np.minimum(a, b))
+        for at in range(0, len(pairs), 100_000):
+            a, b = np.divmod(pairs[at : at + 100_000], len(rows))
+            bound = most_similar(counts[a], counts[b])
+            for k in np.flatnonzero(bound >= least - 1e-9).tolist():
+                seen[int(rows[a[k]]), int(rows[b[k]])] = float(bound[k])
+
+    trie_self_join(key, value, known=label, found=check)
+    if seen:
+        a, b = zip(*seen, strict=True)
+        yield pa.record_batch([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b)), pa.array(list(seen.values()))], names=["a", "b", "bound"])
+
+
+def _across(lanes: DataFrame, links: DataFrame, found: DataFrame, asked: DataFrame, least: float) -> DataFrame:
+    """Candidates (a, b, bound) between the pieces into which the good links
     ``found`` part the clusters of ``links``, but for ``links`` themselves."""
     clusters = _rooted(links, "near-clusters").withColumnRenamed("root", "cluster")
     pieces = _rooted(found, "near-pieces").withColumnRenamed("root", "label")
     members = materialize(clusters.join(pieces, "node", "left").select(F.col("node").alias("row"), "cluster", F.coalesce("label", "node").alias("label")), "near-members")
     parted = members.groupBy("cluster").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x != y").select("cluster")
-    open_ = materialize(lanes.join(members.join(parted, "cluster", "left_semi").select("row", "label"), "row"), "near-open")
-    pairs = near_pairs(open_.select("lane", "fp", "label").distinct())
-    side = lambda n: open_.select("lane", F.col("fp").alias(n), F.col("label").alias(f"l{n}"), F.col("row").alias(f"r{n}"))
-    rows = pairs.join(side("a"), ["lane", "a", "la"]).join(side("b"), ["lane", "b", "lb"])
-    return _ordered(rows.select(F.col("ra").alias("a"), F.col("rb").alias("b"))).join(links, ["a", "b"], "left_anti")
+    inside = members.join(parted, "cluster", "left_semi").select("row", "label").join(asked.select("row", "counts"), "row")
+    open_ = materialize(lanes.join(inside, "row"), "near-open")
+    dealt = routed(open_, more=("label", "row", "counts")).repartition(shuffle_width(open_.sparkSession), "key")
+    pairs = dealt.mapInArrow(functools.partial(_likely, least=least), "a bigint, b bigint, bound double")
+    return pairs.groupBy("a", "b").agg(F.max("bound").alias("bound")).join(links, ["a", "b"], "left_anti")
+
+
+def _settled(others: DataFrame, found: DataFrame, asked: DataFrame, least: float) -> DataFrame:
+    """``found`` with all good links among ``others`` that join two pieces."""
+    share = 1
+    while True:
+        pieces = _rooted(found, "near-pieces")
+        side = lambda n: pieces.select(F.col("node").alias(n), F.col("root").alias(f"l{n}"))
+        ends = others.join(side("a"), "a", "left").join(side("b"), "b", "left").select("a", "b", "bound", F.coalesce("la", "a").alias("la"), F.coalesce("lb", "b").alias("lb"))
+        others = materialize(ends.where("la != lb"), "near-others")
+        left = others.count()
+        if not left:
+            return found
+        chosen = others.select("a", "b")
+        if left > AT_ONCE:
+            slot = F.pmod(F.xxhash64("a", "b"), F.lit(share))
+            best = others.groupBy(F.least("la", "lb"), F.greatest("la", "lb"), slot).agg(F.max_by(F.struct("a", "b"), F.struct("bound", "a", "b")).alias("pair"))
+            chosen = materialize(best.select("pair.a", "pair.b"), "near-chosen")
+        found = materialize(found.unionByName(_verified(chosen, asked, least)), "near-verified")
+        if left <= AT_ONCE:
+            return found
+        others, share = others.select("a", "b", "bound").join(chosen, ["a", "b"], "left_anti"), share * 8
 
 
 def near_copies(docs: DataFrame, row: str, prints: int = PRINTS, least: float = SIMILARITY) -> DataFrame:
@@ -143,21 +244,26 @@ def near_copies(docs: DataFrame, row: str, prints: int = PRINTS, least: float =
     ``docs`` is a stored table with unique numbers in ``row``.  Null and empty
     texts are copies of each other; a null doc_id gives way to any other.
     """
-    texts = docs.select(F.col(row).alias("row"), F.col("text").cast("string").alias("text"))
-    owners = docs.select(F.col(row).alias("node"), F.struct(F.col("doc_id").isNull().alias("o"), F.col("doc_id").cast("bigint").alias("d"), F.col(row).alias("r")).alias("rank"))
-    lanes = materialize(_prints(texts, prints), "near-prints").select("row", F.posexplode("prints").alias("lane", "fp"))
-    links = materialize(_spanning(lanes), "near-links")
-    found = materialize(_verified(links, texts, least), "near-verified")
-    others = materialize(_across(lanes, links, found), "near-others")
-    if not others.isEmpty():
-        found = found.unionByName(materialize(_verified(others, texts, least), "near-verified"))
-    ranked = materialize(_rooted(found, "near-groups").join(owners, "node"), "near-ranked")
-    best = ranked.groupBy("root").agg(F.min("rank").alias("best"))
-    return materialize(ranked.join(best, "root").where(F.col("rank.r") != F.col("best.r")).select(F.col("node").alias("row")), "near-gone")
+    with tidy(docs.sparkSession):
+        texts = docs.select(F.col(row).alias("row"), F.col("text").cast("string").alias("text"))
+        owners = docs.select(F.col(row).alias("node"), F.struct(F.col("doc_id").isNull().alias("o"), F.col("doc_id").cast("bigint").alias("d"), F.col(row).alias("r")).alias("rank"))
+        lanes = materialize(_prints(texts, prints), "near-prints").select("row", F.posexplode("prints").alias("lane", "fp"))
+        links = materialize(_spanning(lanes), "near-links")
+        ends = links.select(F.col("a").alias("row")).unionByName(links.select(F.col("b").alias("row"))).distinct()
+        # all texts move once; what the checks move are the texts of links only
+        asked = materialize(_packed(texts.join(ends, "row", "left_semi")), "near-texts")
+        found = materialize(_verified(links, asked, least), "near-verified")
+        found = _settled(materialize(_across(lanes, links, found, asked, least), "near-others"), found, asked, least)
+        ranked = materialize(_rooted(found, "near-groups").join(owners, "node"), "near-ranked")
+        best = ranked.groupBy("root").agg(F.min("rank").alias("best"))
+        gone = materialize(ranked.join(best, "root").where(F.col("rank.r") != F.col("best.r")).select(F.col("node").alias("row")), "near-gone")
+    return gone
 
 
 def drop_near_copies(docs: DataFrame, prints: int = PRINTS, least: float = SIMILARITY) -> DataFrame:
-    """``docs`` with one row of every group of near copies; columns stay."""
+    """``docs`` with one row of every group of near copies; columns stay.  Null
+    and empty texts are one group, repeated rows another; null ids give way; an
+    empty table stays empty."""
     (row,) = fresh(docs.columns, "row")
     stored = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "near-rows")
     gone = near_copies(stored, row, prints, least).select(F.col("row").alias(row))

@@ -5,12 +5,14 @@ one partition large.  Each partition runs best-fit decreasing on its lengths
 and holds the number of bins against a lower bound from dual feasible
 functions.  Bins that a partition leaves open beyond its bound, and its least
 filled bin (the rounding loss of having partitions at all), give their
-documents up; those are dealt anew to fewer partitions and packed again, until
-one partition is left.  A round that does not use fewer bins is not taken.
+documents up; those are dealt anew to as few partitions as hold them and packed
+again, until one partition is left or no fewer than half would be.  A round that
+does not use fewer bins is not taken; the places before it hold.
 """
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterable
 
 import numpy as np
@@ -24,7 +26,6 @@ from millrace.llm.tokens import token_pieces
 CAPACITY = 2048
 PIECES_PER_PARTITION = 40_000
 EXCHANGE_SHARE = 0.02
-FAN_IN = 16
 
 
 def lower_bound(lengths: Iterable[int] | np.ndarray, capacity: int) -> int:
@@ -136,7 +137,7 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, per_partition: int
     rows = materialize(pieces.withColumn("row", F.monotonically_increasing_id()), "pieces")
     total, done = rows.count(), None
     parts = max(1, -(-total // per_partition))
-    for round_no in range(8):
+    for round_no in itertools.count():
         last = parts == 1
         dealt = rows.withColumn("part", F.pmod(F.xxhash64("row", F.lit(round_no)), F.lit(parts)))
         packed = dealt.groupBy("part").applyInArrow(_packer(capacity, last, round_no), _PACKED)
@@ -146,12 +147,15 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, per_partition: int
             if after >= before:  # the exchange gained nothing: the old places hold
                 done = done.unionByName(rows.select(*packed.columns))
                 break
+        rows = packed.where("released")
+        need = max(1, -(-rows.count() // per_partition))
+        # an exchange among half as many partitions or more would settle little
+        last = last or need * 2 > parts
         kept = packed if last else packed.where(~F.col("released"))
         done = kept if done is None else done.unionByName(kept)
         if last:
             break
-        rows = packed.where("released")
-        parts = max(1, min(parts // FAN_IN, -(-rows.count() // per_partition)))
+        parts = need
     return done.drop("row", "released") if done is not None else spark.createDataFrame([], _PACKED)
 
 

@@ -7,7 +7,10 @@ with equal anchors can have a window in common, so the corpus can be indexed in
 independent buckets of anchors.
 
 1. Every block of documents sends each bucket the anchors and the hashes of its
-   stretches, each pair once, with the smallest document id.  The bucket
+   stretches, each pair once, with the smallest document id.  Stretches count as
+   equal if a 48-bit hash of the anchor and a 64-bit hash of all bytes agree:
+   of n different stretches with one anchor, a pair agrees by chance with
+   probability below n * n / 2 ** 65.  The bucket
    answers, for a stretch found in more than one document, with the smallest id
    of all; in every other document all its windows are repeats.  For anchors
    with different stretches in different documents it asks for the bytes, once.
@@ -49,6 +52,7 @@ PIECE = 1 << 20
 PLACE_BITS = 22
 HOT = 20_000
 NO_ID = (1 << 63) - 1
+BLOCK_BYTES = 64 << 20  # of input files, for one task
 BASE = 0x9E3779B97F4A7C15 | 1
 
 
@@ -190,6 +194,16 @@ def _from_blob(blob: bytes) -> list[np.ndarray]:
     return out
 
 
+def _steps(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ascending numbers as their first and the steps between them."""
+    gaps = np.diff(values, prepend=values[:1])
+    return values[:1], gaps.astype("<u4") if int(gaps.max(initial=0)) < 1 << 32 else gaps
+
+
+def _from_steps(first: np.ndarray, gaps: np.ndarray) -> np.ndarray:
+    return first[0] + np.cumsum(gaps, dtype=np.uint64)
+
+
 def _table(rows: list[tuple], schema: str) -> pa.Table:
     kinds = {"int": pa.int32(), "bigint": pa.int64(), "binary": pa.binary(), "string": pa.string()}
     fields = [f.split() for f in schema.split(", ")]
@@ -249,13 +263,8 @@ def _send_anchors(buckets: int):
         for b in range(buckets):
             a, z = edges[b], edges[b + 1]
             if z > a:
-                gaps = np.diff(anchors[a:z], prepend=np.uint64(0))
-                narrow = gaps.astype("<u4") if int(gaps[1:].max(initial=0)) < 1 << 32 and z - a > 1 else gaps
-                first = gaps[:1].copy()
-                if narrow is not gaps:
-                    narrow[0] = 0
                 ids_out = owners[a:z]
-                rows.append((b, block, _to_blob(first, narrow, hashes[a:z], more[a:z], sides[a:z], ids_out.astype("<u4") if 0 <= ids_out.min() and ids_out.max() < 1 << 32 else ids_out)))
+                rows.append((b, block, _to_blob(*_steps(anchors[a:z]), hashes[a:z], more[a:z], sides[a:z], ids_out.astype("<u4") if 0 <= ids_out.min() and ids_out.max() < 1 << 32 else ids_out)))
         return _table(rows, _ANCHORS)
 
     return run
@@ -279,9 +288,7 @@ def _answer(hot: int):
         columns: list[list[np.ndarray]] = [[] for _ in range(6)]
         for block, blob in zip(got["block"].to_pylist(), got["blob"].to_pylist(), strict=True):
             first, gaps, h, m, side, o = _from_blob(blob)
-            wide = gaps.astype(np.uint64)
-            wide[0] = first[0]
-            record = (np.full(len(h), block, np.int64), np.cumsum(wide, dtype=np.uint64), h, o.astype(np.int64), m, side)
+            record = (np.full(len(h), block, np.int64), _from_steps(first, gaps), h, o.astype(np.int64), m, side)
             for column, values in zip(columns, record, strict=True):
                 column.append(values)
         data = [np.concatenate(x) for x in columns]
@@ -308,34 +315,41 @@ def _answer(hot: int):
             likely |= _agreeing(anchors[at], near[:, k], owners[at])
         which = np.cumsum(np.r_[0, anchors[at][1:] != anchors[at][:-1]])
         kinds = np.bincount(which, weights=likely)[which]
-        ask = np.zeros(len(new), np.uint8)
-        ask[at] = np.where(likely, np.where(kinds > hot, 2, 1), 0)
+        # of the first owner every block: rows that share an id may lie in several
+        ask = np.where(owners == least, np.repeat(np.where(likely, np.where(kinds > hot, 2, 1), 0), size), 0).astype(np.uint8)
         # a stretch in one document is news only if its bytes are asked for
         told = (ask > 0) | (more > 0) | np.repeat(size > 1, size)
-        blocks, hashes, least, ask = blocks[told], hashes[told], least[told], ask[told]
-        order = np.argsort(blocks, kind="stable")
-        blocks, hashes, least, ask = blocks[order], hashes[order], least[order], ask[order]
-        return _table([(int(blocks[a]), 1, _to_blob(hashes[a:z], least[a:z], ask[a:z])) for a, z in _runs(blocks)], _TOLD)
+        order = np.flatnonzero(told)[np.argsort(blocks[told], kind="stable")]
+        blocks, anchors, hashes, least, ask = (x[order] for x in (blocks, anchors, hashes, least, ask))
+        return _table([(int(blocks[a]), 1, _to_blob(*_steps(anchors[a:z]), hashes[a:z], least[a:z], ask[a:z])) for a, z in _runs(blocks)], _TOLD)
 
     return run
 
 
-def _known(told: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sorted hashes, smallest ids and requests of a block."""
+def _known(told: pa.Table) -> tuple[np.ndarray, ...]:
+    """Hashes (sorted), anchors, smallest ids and requests of a block."""
     parts = [_from_blob(b) for b, k in zip(told["blob"].to_pylist(), told["kind"].to_pylist(), strict=True) if k == 1]
     if not parts:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.uint8)
-    hashes, least, ask = (np.concatenate(x) for x in zip(*parts, strict=True))
-    order = np.argsort(hashes)
-    return hashes[order], least[order], ask[order]
+        none = np.zeros(0, np.uint64)
+        return none, none, none.astype(np.int64), none.astype(np.uint8)
+    anchors, hashes, least, ask = (np.concatenate(x) for x in zip(*((_from_steps(*p[:2]), *p[2:]) for p in parts), strict=True))
+    order = np.argsort(hashes, kind="stable")
+    return hashes[order], anchors[order], least[order], ask[order]
 
 
-def _look_up(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Which of ``wanted`` are among the sorted ``keys``, and where."""
+def _look_up(keys: np.ndarray, anchors: np.ndarray, s: Stretches) -> tuple[np.ndarray, np.ndarray]:
+    """Which stretches are among the sorted ``keys`` with their ``anchors``,
+    and where.  Equal hashes of different anchors stand side by side."""
     if not len(keys):
-        return np.zeros(len(wanted), bool), np.zeros(len(wanted), np.int64)
-    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-    return keys[at] == wanted, at
+        return np.zeros(len(s.hash), bool), np.zeros(len(s.hash), np.int64)
+    at = np.minimum(np.searchsorted(keys, s.hash), len(keys) - 1)
+    while True:
+        here = keys[at] == s.hash
+        found = here & (anchors[at] == s.anchor)
+        on = here & ~found & (at + 1 < len(keys))
+        if not on.any():
+            return found, at
+        at = at + on
 
 
 def _send_fragments(buckets: int):
@@ -345,8 +359,8 @@ def _send_fragments(buckets: int):
         if not docs.num_rows or not told.num_rows:
             return _table([], _FRAGMENTS)
         block = docs["block"][0].as_py()
-        keys, least, ask = _known(told)
-        keys, least, ask = keys[ask > 0], least[ask > 0], ask[ask > 0]
+        keys, anchors, least, ask = _known(told)
+        keys, anchors, least, ask = (x[ask > 0] for x in (keys, anchors, least, ask))
         if not len(keys):
             return _table([], _FRAGMENTS)
         _, texts = _texts(docs)
@@ -354,7 +368,7 @@ def _send_fragments(buckets: int):
         out: list[list] = [[] for _ in range(buckets)]
         for lot, _ in _pieces(texts):
             s = Stretches(lot)
-            hit, at = _look_up(keys, s.hash)
+            hit, at = _look_up(keys, anchors, s)
             for j in np.flatnonzero(hit).tolist():
                 k = at[j]
                 if sent[k]:
@@ -363,18 +377,18 @@ def _send_fragments(buckets: int):
                 a, z = int(s.start[j]), int(s.stop[j])
                 if ask[k] == 1:
                     bucket = (int(s.anchor[j]) >> 16) * buckets >> 32
-                    out[bucket].append((keys[k], least[k], 0, s.text[a : z + SPAN].tobytes()))
+                    out[bucket].append((keys[k], anchors[k], least[k], 0, s.text[a : z + SPAN].tobytes()))
                     continue
                 places = np.arange(a, z + 1)
                 own = s.hashes(places, places + SPAN)
                 for off, (w, h) in enumerate(zip(places.tolist(), own.tolist(), strict=True)):
-                    out[(h >> 32) * buckets >> 32].append((keys[k], least[k], off, s.text[w : w + SPAN].tobytes()))
+                    out[(h >> 32) * buckets >> 32].append((keys[k], anchors[k], least[k], off, s.text[w : w + SPAN].tobytes()))
         rows = []
         for b, parts in enumerate(out):
             if parts:
-                k, e, off, raw = zip(*parts, strict=True)
+                k, n, e, off, raw = zip(*parts, strict=True)
                 size = np.array([len(r) for r in raw], "<u4")
-                rows.append((b, block, _to_blob(np.array(k, np.uint64), np.array(e, np.int64), np.array(off, "<u4"), size, np.frombuffer(b"".join(raw), np.uint8))))
+                rows.append((b, block, _to_blob(np.array(k, np.uint64), np.array(n, np.uint64), np.array(e, np.int64), np.array(off, "<u4"), size, np.frombuffer(b"".join(raw), np.uint8))))
         return _table(rows, _FRAGMENTS)
 
     return run
@@ -384,11 +398,13 @@ class RunLengthIndex:
     """Run-length Burrows-Wheeler index of a text of fragments.
 
     ``run_start``/``run_byte``: the runs; ``sample_first``/``sample_last``: text
-    positions of the first and last row of each run; ``class_of_row`` numbers
-    the rows by their first ``span`` bytes.
+    positions of the first and last row of each run; ``class_start``: the first
+    row of each class of rows that agree in ``span`` bytes, ``class_least`` the
+    smallest owner in it.  Nothing is kept per row; the text itself answers how
+    far two suffixes agree.  Ranks and rows exist while the index is built.
     """
 
-    def __init__(self, text: np.ndarray, span: int = SPAN):
+    def __init__(self, text: np.ndarray, span: int = SPAN, owner: np.ndarray | None = None):
         self.text = text
         n = len(text)
         around = np.resize(text, n + 7)  # circular: rows are rotations
@@ -407,8 +423,9 @@ class RunLengthIndex:
         at_span = rank if at_span is None else at_span
         suffix = np.empty(n, np.int64)
         suffix[rank] = np.arange(n)
-        self.rows = suffix
-        self.class_of_row = at_span[suffix]
+        classes = at_span[suffix]
+        self.class_start = np.flatnonzero(np.r_[True, classes[1:] != classes[:-1]])
+        self.class_least = None if owner is None else np.minimum.reduceat(owner[suffix], self.class_start)
         bwt = text[suffix - 1]  # the row of the whole text takes its last byte
         edge = np.flatnonzero(np.r_[True, bwt[1:] != bwt[:-1]])
         self.run_start, self.run_byte = edge, bwt[edge]
@@ -422,6 +439,10 @@ class RunLengthIndex:
         self._by_byte = self.run_byte[order].astype(np.int64) * len(edge) + order
         self._order = order
 
+    def least_owner(self, row: np.ndarray) -> np.ndarray:
+        """Smallest owner of the rows that agree with ``row`` in the span."""
+        return self.class_least[np.searchsorted(self.class_start, row, side="right") - 1]
+
     def _nearest(self, byte: np.ndarray, run: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Runs of ``byte`` before and after ``run``; -1 where there is none."""
         r = len(self.run_start)
@@ -507,16 +528,13 @@ def earlier_windows(fragments: list[bytes], owners: np.ndarray, span: int = SPAN
     size = np.array([len(fragments[i]) for i in order], np.int64)
     text = np.frombuffer(b"\xff".join([*(fragments[i] for i in order), b""])[:-1] + b"\xfe", np.uint8)
     start = np.cumsum(size + 1) - size - 1
-    index = RunLengthIndex(text, span)
-    owner_of_place = np.repeat(owners[order], size + 1)
-    least = np.full(len(text), NO_ID, np.int64)
-    np.minimum.at(least, index.class_of_row, owner_of_place[index.rows])
+    index = RunLengthIndex(text, span, np.repeat(owners[order], size + 1))
     out = [np.zeros(max(0, n - span + 1), bool) for n in size]
     for live, place, row, matched in index.stream(start, size):
         good = np.flatnonzero((matched >= span) & (place + span <= size[live]))
         if len(good):
             which = live[good]
-            early = least[index.class_of_row[row[good]]] < owners[order][which]
+            early = index.least_owner(row[good]) < owners[order][which]
             for k, p in zip(which[early].tolist(), place[good][early].tolist(), strict=True):
                 out[k][p] = True
     back: list = [None] * len(order)
@@ -527,36 +545,38 @@ def earlier_windows(fragments: list[bytes], owners: np.ndarray, span: int = SPAN
 
 def _match(got: pa.Table) -> pa.Table:
     """Step 2, bucket side: windows of each fragment that occur earlier."""
-    blocks, keys, owners, offs, frags = [], [], [], [], []
+    blocks, keys, anchors, owners, offs, frags = [], [], [], [], [], []
     for block, blob in zip(got["block"].to_pylist(), got["blob"].to_pylist(), strict=True):
-        k, e, off, size, raw = _from_blob(blob)
+        k, anchor, e, off, size, raw = _from_blob(blob)
         data, at = raw.tobytes(), 0
         for n in size.tolist():
             frags.append(data[at : at + n])
             at += n
         keys.append(k)
+        anchors.append(anchor)
         owners.append(e)
         offs.append(off)
         blocks.append(np.full(len(k), block, np.int64))
-    blocks, keys, owners, offs = map(np.concatenate, (blocks, keys, owners, offs))
+    blocks, keys, anchors, owners, offs = map(np.concatenate, (blocks, keys, anchors, owners, offs))
     found = earlier_windows(frags, owners)
     masks = np.array([int((m.astype(np.uint64) << np.arange(len(m), dtype=np.uint64)).sum()) << int(o) for m, o in zip(found, offs.tolist(), strict=True)], np.uint64)
-    told = masks > 0
-    blocks, keys, masks = blocks[told], keys[told], masks[told]
-    order = np.argsort(blocks, kind="stable")
-    blocks, keys, masks = blocks[order], keys[order], masks[order]
-    return _table([(int(blocks[a]), 2, _to_blob(keys[a:z], masks[a:z])) for a, z in _runs(blocks)], _TOLD)
+    told = np.flatnonzero(masks > 0)
+    order = told[np.argsort(blocks[told], kind="stable")]
+    blocks, keys, anchors, masks = (x[order] for x in (blocks, keys, anchors, masks))
+    return _table([(int(blocks[a]), 2, _to_blob(keys[a:z], anchors[a:z], masks[a:z])) for a, z in _runs(blocks)], _TOLD)
 
 
 def _removed(ids: np.ndarray, texts: list[bytes], told: pa.Table) -> list[np.ndarray]:
     """Step 3: a mask of removed bytes for every text of a block."""
-    keys, least, _ = _known(told)
+    keys, anchors, least, _ = _known(told)
     parts = [_from_blob(b) for b, k in zip(told["blob"].to_pylist(), told["kind"].to_pylist(), strict=True) if k == 2]
-    some, masks = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (np.zeros(0, np.uint64), np.zeros(0, np.uint64))
+    none = np.zeros(0, np.uint64)
+    some, places, masks = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (none, none, none)
     if len(some):  # windows asked for one by one come in several records
-        order = np.argsort(some, kind="stable")
-        edge = np.flatnonzero(np.r_[True, some[order][1:] != some[order][:-1]])
-        some, masks = some[order][edge], np.bitwise_or.reduceat(masks[order], edge)
+        order = np.lexsort((places, some))
+        some, places, masks = some[order], places[order], masks[order]
+        edge = np.flatnonzero(np.r_[True, (some[1:] != some[:-1]) | (places[1:] != places[:-1])])
+        some, places, masks = some[edge], places[edge], np.bitwise_or.reduceat(masks, edge)
     out = [np.zeros(len(t), bool) for t in texts]
     if not len(keys):
         return out
@@ -565,12 +585,12 @@ def _removed(ids: np.ndarray, texts: list[bytes], told: pa.Table) -> list[np.nda
         if not len(s.start):
             continue
         owner = ids[np.array([k for k, _ in where], np.int64)][s.owner]
-        hit, at = _look_up(keys, s.hash)
+        hit, at = _look_up(keys, anchors, s)
         whole = hit & (least[at] < owner)
         change = np.zeros(len(s.text) + 1, np.int64)
         np.add.at(change, s.start[whole], 1)
         np.add.at(change, s.stop[whole] + SPAN, -1)
-        part, at = _look_up(some, s.hash)
+        part, at = _look_up(some, places, s)
         part = np.flatnonzero(part & ~whole)
         if len(part):
             width = (s.stop - s.start)[part] + 1
@@ -619,7 +639,7 @@ def remove_repeats(docs: DataFrame, with_text: bool = False, hot: int = HOT) ->
     not remove each other; texts of any length are cut into overlapping pieces;
     an empty table stays empty; further columns are ignored.
     """
-    width = shuffle_width(docs.sparkSession)
+    width = max(shuffle_width(docs.sparkSession), -(-_size_of(docs) // BLOCK_BYTES))
     body = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")
     labels = F.array(*map(F.lit, _labels(docs.sparkSession, width)))
     block = F.get(labels, F.pmod(F.xxhash64("doc_id", F.octet_length(body)), F.lit(width)).cast("int")).cast("bigint")
@@ -632,6 +652,14 @@ def remove_repeats(docs: DataFrame, with_text: bool = False, hot: int = HOT) ->
     return rows.groupBy("block").cogroup(both.groupBy("block")).applyInArrow(_typed2(_clean(with_text)), _CLEANED + ", kept binary" * with_text)
 
 
+def _size_of(docs: DataFrame) -> int:
+    """Bytes of the input, by the files if the plan knows them."""
+    known = int(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    if known < 1 << 60:
+        return known
+    return docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+
+
 def _labels(spark: SparkSession, width: int) -> list[int]:
     """Group keys of which each lands in a partition of its own, so that every
     task has one block and one bucket of about the same size."""

@@ -3,7 +3,8 @@
 Every version of every document is content-addressed.  The ledger holds one row
 per blob and rule version that was ever scanned, with what was found; a run
 scans only pairs that the ledger does not have, one copy of each blob, appends
-the outcome, and joins the findings back to every document that has the blob.
+the outcome, and joins the findings back to every path and version that has the
+blob.
 Raising a rule's version makes just that rule run again.  All of it is
 DataFrame expressions.
 """
@@ -13,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import scratch, text_or_empty
+from millrace.llm.common import join_spread, materialize, scratch, text_or_empty
 from millrace.llm.spans import SPAN, Kind, find_spans, joined
 
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?+\x20*+[:=]\x20*+["']?+([A-Za-z0-9+/_.=-]++)"""
@@ -37,23 +38,26 @@ def read_ledger(spark: SparkSession, ledger: str) -> DataFrame:
         return spark.createDataFrame([], LEDGER)
 
 
-def scan(docs: DataFrame, ledger: str, rules: list[Kind] = RULES) -> DataFrame:
-    """Scan the blobs of ``docs`` (doc_id, text) that ``ledger`` lacks, append
-    to it, and return doc_id, blob and one span column per rule.
+def scan(docs: DataFrame, ledger: str, rules: list[Kind] = RULES, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """Scan the blobs of ``docs`` (``keys``, text) that ``ledger`` lacks, append
+    to it, and return the keys, blob and one span column per rule.
 
-    Positions are code points, the end exclusive.  A null text is the empty
-    blob; a null doc_id stays null; repeated rows repeat; an empty table scans
-    nothing; further columns are ignored.
+    ``keys`` name a row: doc_id, or path and version in a history.  Positions
+    are code points, the end exclusive.  A null text is the empty blob; null
+    keys stay null; repeated rows repeat; an empty table scans nothing; further
+    columns are ignored, and no key may be named after a rule.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_or_empty().cast("string").alias("body")).withColumn("blob", F.sha2("body", 256))
+    key = F.struct(*[F.col(k).cast("bigint").alias(k) if k == "doc_id" else F.col(k) for k in keys]).alias("key")
+    rows = docs.select(key, text_or_empty().cast("string").alias("body")).withColumn("blob", F.sha2("body", 256))
+    placed = materialize(rows.select("key", "blob"), "ledger-rows")
     current = F.array(*[F.struct(F.lit(r.name).alias("rule"), F.lit(r.version).alias("version")) for r in rules])
     known = read_ledger(spark, ledger).groupBy("blob").agg(F.collect_set(F.struct("rule", "version")).alias("seen"))
-    # one document stands for its blob; the ledger says which rules it still needs
-    blobs = rows.groupBy("blob").agg(F.min("doc_id").alias("doc"))
+    # one row stands for its blob; the ledger says which rules it still needs
+    blobs = placed.groupBy("blob").agg(F.min("key").alias("first"))
     todo = blobs.join(known, "blob", "left").withColumn("todo", F.when(F.col("seen").isNull(), current).otherwise(F.array_except(current, F.col("seen")))).where(F.size("todo") > 0)
-    todo = todo.select(F.col("blob").alias("b"), "doc", F.transform("todo", lambda p: p["rule"]).alias("todo"))
-    picked = rows.join(todo.hint("shuffle_hash"), (rows["blob"] == todo["b"]) & rows["doc_id"].eqNullSafe(todo["doc"])).select("blob", "body", "todo")
+    todo = todo.select(F.col("blob").alias("b"), "first", F.transform("todo", lambda p: p["rule"]).alias("todo"))
+    picked = rows.join(todo.hint("shuffle_hash"), (rows["blob"] == todo["b"]) & rows["key"].eqNullSafe(todo["first"])).select("blob", "body", "todo")
     found = find_spans(picked, "body", rules, lambda r: F.array_contains("todo", F.lit(r.name)))
     pairs = F.array(*[F.struct(F.lit(r.name).alias("rule"), F.lit(r.version).alias("version"), F.col(r.name).alias("spans")) for r in rules])
     fresh_rows = found.select("blob", F.explode(F.filter(pairs, lambda p: F.array_contains(F.col("todo"), p["rule"]))).alias("p")).select("blob", "p.rule", "p.version", "p.spans")
@@ -61,10 +65,20 @@ def scan(docs: DataFrame, ledger: str, rules: list[Kind] = RULES) -> DataFrame:
 
     versions = [F.struct(F.lit(r.name).alias("rule"), F.lit(r.version).alias("version")) for r in rules]
     valid = read_ledger(spark, ledger).where(F.struct("rule", "version").isin(versions))
-    # a repeated document may have been scanned twice: any of its rows will do
-    by_blob = valid.groupBy(F.col("blob").alias("b")).agg(*[F.max(F.when(F.col("rule") == r.name, F.col("spans"))).alias(r.name) for r in rules])
-    back = rows.select("doc_id", "blob").join(by_blob, F.col("blob") == F.col("b"), "left")
-    return back.select("doc_id", "blob", *[F.coalesce(r.name, F.array().cast(SPAN)).alias(r.name) for r in rules])
+    # a repeated row may have been scanned twice: any of them will do
+    by_blob = valid.groupBy("blob").agg(*[F.max(F.when(F.col("rule") == r.name, F.col("spans"))).alias(r.name) for r in rules])
+    back = join_spread(placed, by_blob, "blob", how="left")
+    return back.select("key.*", "blob", *[F.coalesce(r.name, F.array().cast(SPAN)).alias(r.name) for r in rules])
+
+
+def scan_history(history: DataFrame, ledger: str, rules: list[Kind] = RULES) -> DataFrame:
+    """Findings in every version of every path of ``history`` (path, version,
+    text): path, version, blob, rule, start, end, match.  A blob that stands
+    under many paths and versions is scanned once."""
+    found = scan(history, ledger, rules, ("path", "version"))
+    kinds = F.array(*[F.struct(F.lit(r.name).alias("rule"), F.col(r.name).alias("spans")) for r in rules])
+    each = found.select("path", "version", "blob", F.explode(kinds).alias("k")).select("path", "version", "blob", "k.rule", F.explode("k.spans").alias("s"))
+    return each.select("path", "version", "blob", "rule", "s.start", "s.end", "s.match")
 
 
 def secret_report(docs: DataFrame, ledger: str | None = None) -> DataFrame:

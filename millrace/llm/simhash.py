@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import materialize, shuffle_width
+from millrace.llm.common import join_spread, materialize, shuffle_width, tidy
 
 BUDGET = 3
 BITS = 64
@@ -87,13 +87,13 @@ def _merge(labels: np.ndarray, a: np.ndarray, b: np.ndarray, used: list | None =
             labels[:] = up
 
 
-def trie_self_join(group: np.ndarray, value: np.ndarray, budget: int = BUDGET, used: list | None = None, known: np.ndarray | None = None) -> np.ndarray:
+def trie_self_join(group: np.ndarray, value: np.ndarray, budget: int = BUDGET, used: list | None = None, known: np.ndarray | None = None, found=None) -> np.ndarray:
     """Component labels (positions) of ``value`` under links of at most
     ``budget`` differing bits inside equal ``group``.  Rows must be sorted by
     (group, value) and distinct; sorted order is the trie, a node a range.
     ``used`` collects the links (i, j) of a spanning forest.  With labels that
-    are ``known`` nothing is joined: ``used`` collects every link between
-    different labels, and rows may repeat a value."""
+    are ``known`` nothing is joined: ``found`` is called with every link (i, j)
+    between different labels, and rows may repeat a value."""
     n = len(value)
     labels = np.arange(n) if known is None else known
     edges = np.flatnonzero(np.r_[True, group[1:] != group[:-1]]) if n else np.zeros(0, np.int64)
@@ -140,7 +140,7 @@ def trie_self_join(group: np.ndarray, value: np.ndarray, budget: int = BUDGET, u
                 near = (i < j) & (np.bitwise_count(value[i] ^ value[j]) <= budget)
                 if known is not None:
                     near &= labels[i] != labels[j]
-                    used.append((i[near], j[near]))
+                    found(i[near], j[near])
                 elif near.any():
                     labels = _merge(labels, i[near], j[near], used)
             a0, a1, b0, b1, same = (x[~leaf] for x in (a0, a1, b0, b1, same))
@@ -180,41 +180,16 @@ def _forest(batches: Iterator[pa.RecordBatch], budget: int, direct: bool) -> Ite
         yield pa.record_batch([pa.array(lane[x]), pa.array(signed[x]), pa.array(signed[y])], names=["lane", "a", "b"])
 
 
-def _all_pairs(batches: Iterator[pa.RecordBatch], budget: int) -> Iterator[pa.RecordBatch]:
-    """Every link of one partition between fingerprints of different labels."""
-    held = [b for b in batches if b.num_rows]
-    if not held:
-        return
-    table = pa.Table.from_batches(held)
-    key, fp, label, lane = (table[c].to_numpy() for c in ("key", "fp", "label", "lane"))
-    value = fp.astype(np.int64).view(np.uint64)
-    order = np.lexsort((label, value, key))
-    key, value, label, lane = key[order], value[order], label[order], lane[order]
-    used: list = []
-    trie_self_join(key, value, budget, used, label)
-    signed = value.view(np.int64)
-    for x, y in used:
-        for at in range(0, len(x), CHUNK):
-            i, j = x[at : at + CHUNK], y[at : at + CHUNK]
-            yield pa.record_batch([pa.array(c) for c in (lane[i], signed[i], label[i], signed[j], label[j])], names=["lane", "a", "la", "b", "lb"])
-
-
-def near_pairs(named: DataFrame, budget: int = BUDGET, hot: int = HOT_KEY) -> DataFrame:
-    """All pairs (lane, a, la, b, lb) of near fingerprints whose labels differ,
-    of the distinct rows (lane, fp, label) of ``named``."""
-    routed = _routed(named, budget, hot, "label").repartition(shuffle_width(named.sparkSession), "key")
-    return routed.mapInArrow(functools.partial(_all_pairs, budget=budget), "lane int, a bigint, la bigint, b bigint, lb bigint").distinct()
-
-
 def near_links(distinct: DataFrame, budget: int = BUDGET, hot: int = HOT_KEY, direct: bool = False) -> DataFrame:
     """Spanning links (lane, a, b) between the distinct fingerprints ``fp`` of
     each ``lane`` (int, from 0 to 15)."""
-    routed = _routed(distinct, budget, hot).repartition(shuffle_width(distinct.sparkSession), "key")
-    return routed.mapInArrow(functools.partial(_forest, budget=budget, direct=direct), "lane int, a bigint, b bigint").distinct()
+    dealt = routed(distinct, budget, hot).repartition(shuffle_width(distinct.sparkSession), "key")
+    return dealt.mapInArrow(functools.partial(_forest, budget=budget, direct=direct), "lane int, a bigint, b bigint").distinct()
 
 
-def _routed(distinct: DataFrame, budget: int, hot: int, *more: str) -> DataFrame:
-    """Every row once per block, under the key of the block's value."""
+def routed(distinct: DataFrame, budget: int = BUDGET, hot: int = HOT_KEY, more: tuple[str, ...] = ()) -> DataFrame:
+    """Every row once per block, under the key of the block's value; rows (lane,
+    fp, and the columns ``more``)."""
     if budget != BUDGET:
         raise ValueError("blocks are laid out for a budget of three bits")
     held = ["lane", "fp", *more]
@@ -290,8 +265,9 @@ def simhash_components(docs: DataFrame, shingle: int = 3, budget: int = BUDGET,
     """
     prints = materialize(fingerprints(docs, shingle), "simhash")
     classes = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-classes")
-    roots = components(near_links(classes.select(F.lit(0).alias("lane"), "fp"), budget, hot))
+    with tidy(docs.sparkSession):
+        roots = components(near_links(classes.select(F.lit(0).alias("lane"), "fp"), budget, hot))
     rooted = materialize(classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root")), "simhash-roots")
     names = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    of_class = rooted.join(names, "root").select("fp", "component_id")
-    return prints.join(of_class, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    of_class = materialize(rooted.join(names, "root").select("fp", "component_id"), "simhash-named")
+    return join_spread(prints, of_class, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")

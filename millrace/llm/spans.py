@@ -24,7 +24,7 @@ CR22 DE22 GB22 GE22 IE22 ME22 RS22 VA22 AE23 GI23 IL23 IQ23 TL23 AD24 CZ24 ES24
 LY25 PT25 ST25 IS26 TR26 FR27 GR27 IT27 MC27 MR27 SM27 AL28 AZ28 BY28 CY28 DO28 GT28 HU28 LB28 PL28 SV28 EG29 BR29 PS29
 QA29 UA29 JO30 KW30 MU30 MT31 SC31 LC32"""
 ACCOUNT_SIZES = {x[:2]: int(x[2:]) for x in _SIZES.split()}
-SPAN = "array<struct<start:int,end:int,match:string>>"
+SPAN = "array<struct<start:int,end:int,match:string,score:double>>"
 
 
 @dataclass(frozen=True)
@@ -32,7 +32,8 @@ class Kind:
     """One kind of span.  ``needs`` are strings one of which every match
     contains (a cheap test before the pattern); ``valid`` judges a match;
     ``parts`` gives the spans inside a match whose ends no pattern can tell;
-    ``score`` and ``context`` weigh kinds that a pattern alone cannot decide."""
+    ``score``, ``context`` and ``against`` weigh kinds that a pattern alone
+    cannot decide."""
 
     name: str
     pattern: str
@@ -42,6 +43,7 @@ class Kind:
     base: bool = True
     score: float = 1.0
     context: str = ""
+    against: str = ""
     version: int = 1
 
 
@@ -79,7 +81,7 @@ def accounts(match: Column) -> Column:
     right: of the ends at a word's end that pass ``mod97``, the one at the
     country's length, else the last."""
     words, sizes = F.split(match, " ", -1), F.create_map(*[F.lit(x) for pair in ACCOUNT_SIZES.items() for x in pair])
-    none = F.array().cast(SPAN)
+    none = F.array().cast("array<struct<start:int,end:int,match:string>>")
 
     def ends(near: Column) -> Column:
         def one(n: Column) -> Column:
@@ -128,9 +130,10 @@ def _placed(text: Column, kind: Kind, found: Column) -> Column:
     def step(acc: Column, x: Column) -> Column:
         start = acc["at"] + F.length(x["g"])
         end = start + F.length(x["m"])
-        span = F.struct(start.alias("start"), end.alias("end"), x["m"].alias("match"))
+        score = F.lit(float(kind.score)).alias("score")
+        span = F.struct(start.alias("start"), end.alias("end"), x["m"].alias("match"), score)
         if kind.parts:
-            inner = F.transform(kind.parts(x["m"]), lambda p: F.struct((start + p["start"]).alias("start"), (start + p["end"]).alias("end"), p["match"].alias("match")))
+            inner = F.transform(kind.parts(x["m"]), lambda p: F.struct((start + p["start"]).alias("start"), (start + p["end"]).alias("end"), p["match"].alias("match"), score))
             return F.struct(end.alias("at"), F.concat(acc["spans"], inner).alias("spans"))
         good = kind.valid(x["m"]) if kind.valid else F.lit(True)
         return F.struct(end.alias("at"), F.when(good, F.concat(acc["spans"], F.array(span))).otherwise(acc["spans"]).alias("spans"))
@@ -142,9 +145,10 @@ def _placed(text: Column, kind: Kind, found: Column) -> Column:
 def find_spans(df: DataFrame, text: str, kinds: list[Kind], wanted: Callable[[Kind], Column] | None = None, threshold: float = 0.6, reach: int = 40) -> DataFrame:
     """``df`` with one span column per kind, named after the kind.
 
-    ``wanted`` may switch a kind off by row.  Kinds with a ``score`` below 1
-    add 0.4 when one of their context words stands within ``reach`` code
-    points before the span or behind it, and stay from ``threshold`` on.
+    ``wanted`` may switch a kind off by row.  Every span tells its score.  Kinds
+    with a ``score`` below 1 gain 0.4 when one of their context words stands
+    within ``reach`` code points before the span or behind it, lose 0.3 by a
+    word ``against`` them there, and stay from ``threshold`` on.
     """
     spots = dict(zip([k.name for k in kinds], fresh([*df.columns, *(k.name for k in kinds)], *[f"found_{k.name}" for k in kinds]), strict=True))
     body = F.col(text)
@@ -159,14 +163,17 @@ def find_spans(df: DataFrame, text: str, kinds: list[Kind], wanted: Callable[[Ki
 
 
 def _in_context(body: Column, kind: Kind, threshold: float, reach: int) -> Column:
-    """The spans whose score, raised by a context word nearby, is enough."""
+    """The spans whose score, moved by the words nearby, is enough."""
 
-    def enough(span: Column) -> Column:
-        around = F.substr(body, F.greatest(span["start"] - reach + 1, F.lit(1)), span["end"] - span["start"] + 2 * reach)
-        bonus = F.when(F.lower(around).rlike(kind.context), 0.4).otherwise(0.0)
-        return F.lit(kind.score) + bonus >= threshold
+    def weighed(span: Column) -> Column:
+        begin = F.greatest(span["start"] - reach, F.lit(0))
+        # the words around it, not those that a number itself may spell
+        around = F.lower(F.concat(F.substr(body, begin + 1, span["start"] - begin), F.lit(" "), F.substr(body, span["end"] + 1, F.lit(reach))))
+        has = lambda words, weight: F.when(around.rlike(words), weight).otherwise(0.0) if words else F.lit(0.0)
+        score = F.round(F.lit(kind.score) + has(kind.context, 0.4) - has(kind.against, 0.3), 2)
+        return span.withField("score", F.least(score, F.lit(1.0)))
 
-    return F.filter(kind.name, enough)
+    return F.filter(F.transform(kind.name, weighed), lambda span: span["score"] >= threshold)
 
 
 def _listed(name: str, rank: int, by_start: bool) -> Column:

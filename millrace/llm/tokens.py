@@ -2,8 +2,8 @@
 
 Ids are those of the byte-level BPE file ``byte_bpe_50k.json``.  The encoder is
 the rank form of the same vocabulary, which yields the same ids several times
-faster; ``tests/llm`` holds the two against each other.  Strings of special
-tokens inside a text are ordinary text.
+faster; ``tests/llm`` holds the two against each other.  A text with the string
+of a token that the file adds to its vocabulary goes to the file's own encoder.
 """
 
 from __future__ import annotations
@@ -43,11 +43,12 @@ def _encoder(path: str):
     import public_tokenizers
     import tiktoken
 
+    added = [t.content for t in _tokenizer(path).get_added_tokens_decoder().values()]
     ranks = {base64.b64decode(token): int(rank) for token, rank in pairs}
     fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def by_ranks(text: str) -> np.ndarray:
-        if len(text) > LONGEST_RUN and max(map(len, text.split()), default=0) > LONGEST_RUN:
+        if any(a in text for a in added) or len(text) > LONGEST_RUN and max(map(len, text.split()), default=0) > LONGEST_RUN:
             return by_file(text)
         return fast.encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False)
 
@@ -58,9 +59,7 @@ def _encoder(path: str):
 def _tokenizer(path: str):
     from tokenizers import Tokenizer
 
-    found = Tokenizer.from_file(path)
-    found.encode_special_tokens = True
-    return found
+    return Tokenizer.from_file(path)
 
 
 def encode(text: str | None, path: str) -> np.ndarray:

@@ -170,9 +170,12 @@ def write_shards(seqs: DataFrame, out: str, per_shard: int = PER_SHARD, seq_len:
     return total
 
 
-def read_shards(spark: SparkSession, out: str, per_shard: int = PER_SHARD, seq_len: int = SEQ_LEN, id_bytes: int = ID_BYTES) -> DataFrame:
+def read_shards(spark: SparkSession, out: str, per_shard: int = PER_SHARD, seq_len: int = SEQ_LEN, id_bytes: int = ID_BYTES, start: int = 0) -> DataFrame:
     """Records back from the shards: slot, shard, byte_offset, n_ids,
-    first_doc, ids, ids_crc32 (of the ids as 32-bit little-endian)."""
+    first_doc, ids, ids_crc32 (of the ids as 32-bit little-endian).
+
+    A reader that resumes names the slot to ``start`` from: shards before it
+    are not opened, records before it not decoded."""
     step = stride(seq_len, id_bytes)
     schema = "slot bigint, shard bigint, byte_offset bigint, n_ids int, first_doc bigint, ids binary, ids_crc32 bigint"
 
@@ -183,7 +186,7 @@ def read_shards(spark: SparkSession, out: str, per_shard: int = PER_SHARD, seq_l
                 if len(view) % step:
                     raise ValueError(f"shard {shard}: {len(view)} bytes are no multiple of {step}")
                 rows = []
-                for k in range(len(view) // step):
+                for k in range(max(0, start - shard * per_shard), len(view) // step):
                     record = view[k * step : (k + 1) * step]
                     n, d = struct.unpack_from("<Iq", record)
                     ids = np.frombuffer(record, dtype=f"<u{id_bytes}", count=n, offset=12)
@@ -192,9 +195,9 @@ def read_shards(spark: SparkSession, out: str, per_shard: int = PER_SHARD, seq_l
                 kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.int64())
                 yield pa.record_batch([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=["slot", "shard", "byte_offset", "n_ids", "first_doc", "ids", "ids_crc32"])
 
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "part-*").load(out)
-    shard = F.regexp_extract("path", r"/shard=(\d+)/", 1).cast("bigint")
-    return files.select(shard.alias("shard"), "content").mapInArrow(run, schema)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(out)  # shard is a partition column
+    wanted = files.where(F.col("shard") >= start // per_shard)
+    return wanted.select(F.col("shard").cast("bigint").alias("shard"), "content").mapInArrow(run, schema)
 
 
 def materialize_order(docs: DataFrame, out: str | None = None, seq_len: int = SEQ_LEN, per_shard: int = PER_SHARD, key: int = KEY, vocabulary: str | None = None) -> DataFrame:

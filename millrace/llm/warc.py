@@ -30,7 +30,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import materialize, scratch
+from millrace.llm.common import join_spread, materialize, scratch
 
 SEGMENT_BYTES = 16 << 10
 CHUNK_BYTES = 4 << 10
@@ -118,7 +118,7 @@ def page_records(row: int, page_id: int | None, url: str | None, payload: bytes,
         yield _record(more, part)
 
 
-_STORED = "row bigint, page_id bigint, url string, payload binary, digest string, n bigint"
+_STORED = "row bigint, page_id bigint, url string, payload binary, digest string, n bigint, strong binary"
 
 
 def _stored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -126,7 +126,7 @@ def _stored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         payloads = [p.as_py() for p in batch.column(3)]
         packer = zstandard.ZstdCompressor(level=3)
-        columns = [pa.array([packer.compress(p) for p in payloads], pa.binary()), pa.array([sha1_base32(p) for p in payloads]), pa.array([len(p) for p in payloads], pa.int64())]
+        columns = [pa.array([packer.compress(p) for p in payloads], pa.binary()), pa.array([sha1_base32(p) for p in payloads]), pa.array([len(p) for p in payloads], pa.int64()), pa.array([hashlib.sha256(p).digest() for p in payloads], pa.binary())]
         yield pa.record_batch([*batch.columns[:3], *columns], names=[f.split()[0] for f in _STORED.split(", ")])
 
 
@@ -135,16 +135,20 @@ def write_archives(pages: DataFrame, out: str, segment_bytes: int = SEGMENT_BYTE
 
     Of pages with equal payloads of at least ``least_bytes`` bytes, the one
     with the smallest page_id (null last, then the first row) is the response.
+    Payloads count as equal by their SHA-256; the SHA-1 is just what WARC shows.
     """
     body = F.encode(F.coalesce(F.col("html").cast("string"), F.lit("")), "UTF-8")
     url = F.col("url").cast("string") if "url" in pages.columns else F.lit(None).cast("string")
     source = pages.select(F.monotonically_increasing_id().alias("row"), F.col("page_id").cast("bigint").alias("page_id"), url.alias("url"), body.alias("payload"))
     rows = materialize(source.mapInArrow(_stored, _STORED), "warc-rows")
     first = F.struct(F.col("page_id").isNull().alias("a"), F.col("page_id").alias("b"), F.col("row").alias("c"))
-    shared = rows.where(F.col("n") >= least_bytes).groupBy("digest", "n").agg(F.min(first).alias("first"), F.count(F.lit(1)).alias("copies")).where("copies > 1")
-    shared = shared.select("digest", "n", F.col("first.c").alias("to_row"), F.col("first.b").alias("to_page"))
-    dealt = rows.join(shared, ["digest", "n"], "left")
-    dealt = dealt.select("row", "page_id", "url", F.when(F.col("to_row").isNull() | (F.col("to_row") == F.col("row")), F.col("payload")).alias("payload"), "digest", F.when(F.col("to_row") != F.col("row"), F.col("to_row")).alias("to_row"), "to_page")
+    # who is whose copy is decided on narrow rows, and payloads go by row
+    narrow = rows.where(F.col("n") >= least_bytes).select("row", "page_id", "strong")
+    shared = narrow.groupBy("strong").agg(F.min(first).alias("first"), F.count(F.lit(1)).alias("copies")).where("copies > 1")
+    shared = shared.select("strong", F.col("first.c").alias("to_row"), F.col("first.b").alias("to_page"))
+    revisits = join_spread(narrow.select("row", "strong"), shared, "strong", rows, by="row").where("to_row != row")
+    dealt = rows.join(revisits.select("row", "to_row", "to_page"), "row", "left")
+    dealt = dealt.select("row", "page_id", "url", F.when(F.col("to_row").isNull(), F.col("payload")).alias("payload"), "digest", "to_row", "to_page")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -272,7 +276,10 @@ def archived_pages(spark: SparkSession, path: str, payloads: bool = True) -> Dat
     whole = reassemble(read_records(spark, path)).withColumn("payload_bytes", F.octet_length("payload").cast("bigint"))
     whole = materialize(whole if payloads else whole.drop("payload"), "warc-read")
     first = whole.where("warc_type = 'response'").select(F.col("record_id").alias("refers_to_id"), F.col("page_id").alias("to_page"), F.col("payload_bytes").alias("to_bytes"))
-    joined = whole.join(first, "refers_to_id", "left")
+    # responses refer to nothing: only revisits are joined, those of one page by several tasks
+    revisits = join_spread(whole.where("refers_to_id IS NOT NULL"), first, "refers_to_id", how="left")
+    alone = whole.where("refers_to_id IS NULL").withColumns({"to_page": F.lit(None).cast("bigint"), "to_bytes": F.lit(None).cast("bigint")})
+    joined = alone.unionByName(revisits)
     return joined.select("page_id", "url", F.col("warc_type").alias("record_type"), "payload_digest", F.coalesce("payload_bytes", "to_bytes").alias("payload_bytes"), F.col("to_page").alias("refers_to"), *["payload"] * payloads)
 
 
