@@ -28,12 +28,20 @@ class LaneRules:
     allow_ascii_digits: bool = False
 
 
-def identifier_likeness(text: Column, profile: Profile = DEVANAGARI) -> Column:
+def signs_of(text: Column) -> Column:
+    """What is neither a Latin letter nor a plain blank: all that the features
+    count, in far fewer characters."""
+    return F.regexp_replace(text, r"[A-Za-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{24F} ]++", "")
+
+
+def identifier_likeness(text: Column, profile: Profile = DEVANAGARI, signs: Column | None = None) -> Column:
     """2 for a chain of separated digit groups, 1 for a pair; 0.75 more for
-    three digits and two separators."""
+    three digits and two separators.  Both begin with a digit."""
+    signs = text if signs is None else signs
+    digits = T.count_chars(signs, profile.native_digits + profile.foreign_digits)
     chain = F.when(text.rlike(profile.id_chain()), 2.0).when(text.rlike(profile.id_pair()), 1.0).otherwise(0.0)
-    digits = T.count_chars(text, profile.native_digits + profile.foreign_digits)
-    return chain + F.when((digits >= 3) & (T.count_chars(text, "/-.:") >= 2), 0.75).otherwise(0.0)
+    more = F.when((digits >= 3) & (T.count_chars(signs, "/-.:") >= 2), 0.75).otherwise(0.0)
+    return F.when(digits > 0, chain + more).otherwise(0.0)
 
 
 def contains_identifier(text: Column, profile: Profile = DEVANAGARI) -> Column:
@@ -45,32 +53,34 @@ def reference_features(text: Column, profile: Profile = DEVANAGARI) -> Column:
     return F.struct(score.alias("identifier_likeness_score"), score.alias("reference_pattern_score"), (score > 0).alias("contains_reference_identifier"), T.count_chars(text, "/").alias("slash_count"))
 
 
-def features(text: Column, profile: Profile = DEVANAGARI) -> Column:
-    """Feature struct of an NFC text."""
-    special, native = T.count_chars(text, profile.special), T.count_chars(text, profile.native_digits)
-    foreign, length = T.count_chars(text, profile.foreign_digits), F.length(text)
+def features(text: Column, profile: Profile = DEVANAGARI, signs: Column | None = None) -> Column:
+    """Feature struct of an NFC text; ``signs`` are its ``signs_of``, if they
+    are at hand."""
+    signs = text if signs is None else signs
+    special, native = T.count_chars(signs, profile.special), T.count_chars(signs, profile.native_digits)
+    foreign, length = T.count_chars(signs, profile.foreign_digits), F.length(text)
     words = T.word_count(text)
     currency = F.lit(0)
     for sign in profile.currency:
         currency = currency + T.count_of(text, sign)
-    likeness = identifier_likeness(text, profile)
+    likeness = identifier_likeness(text, profile, signs)
     per = F.greatest(length, F.lit(1))
     parts = {
         "native_digit_count": native,
         "ascii_digit_count": foreign,
-        "slash_count": T.count_chars(text, "/"),
-        "period_count": T.count_chars(text, "."),
-        "comma_count": T.count_chars(text, ","),
-        "hyphen_count": T.count_chars(text, "-"),
-        "dash_count": T.count_chars(text, "—–"),
-        "colon_count": T.count_chars(text, ":"),
-        "semicolon_count": T.count_chars(text, ";"),
-        "bracket_count": T.count_chars(text, BRACKETS),
+        "slash_count": T.count_chars(signs, "/"),
+        "period_count": T.count_chars(signs, "."),
+        "comma_count": T.count_chars(signs, ","),
+        "hyphen_count": T.count_chars(signs, "-"),
+        "dash_count": T.count_chars(signs, "—–"),
+        "colon_count": T.count_chars(signs, ":"),
+        "semicolon_count": T.count_chars(signs, ";"),
+        "bracket_count": T.count_chars(signs, BRACKETS),
         "symbol_count": special,
         "currency_count": currency,
-        "percent_count": T.count_chars(text, "%"),
-        "conjunct_estimate": T.conjuncts(text),
-        "matra_score": T.matra_score(text),
+        "percent_count": T.count_chars(signs, "%"),
+        "conjunct_estimate": T.conjuncts(signs),
+        "matra_score": T.matra_score(signs),
         "text_length": length,
         "char_count": F.length(T.strip(T.without_joiners(text))),
         "word_count": words,
@@ -119,21 +129,23 @@ def too_long(f: Column, rules: LaneRules) -> Column:
     return out if rules.max_chars is None else out | (f["char_count"] > rules.max_chars)
 
 
-def trivial(text: Column, f: Column, score: Column, rules: LaneRules, profile: Profile = DEVANAGARI) -> Column:
+def trivial(text: Column, f: Column, score: Column, rules: LaneRules, profile: Profile = DEVANAGARI, stripped: bool = False) -> Column:
+    bare = text if stripped else T.strip(text)
     floor = 8 if rules.min_chars is None else rules.min_chars
     out = (f["char_count"] < floor) | ~T.in_band(f["char_count"], rules.min_chars, rules.max_chars)
     out = out | (f["word_count"] < rules.min_words) | (f["word_count"] > rules.max_words)
     out = out | ((f["word_count"] <= 1) & (score < 2.5))
     for pattern in profile.trivial:
-        out = out | T.strip(text).rlike(pattern)
+        out = out | bare.rlike(pattern)
     return out
 
 
-def ordinary_prose(text: Column, f: Column, profile: Profile = DEVANAGARI) -> Column:
+def ordinary_prose(text: Column, f: Column, profile: Profile = DEVANAGARI, stripped: bool = False) -> Column:
     """Flowing text without digits, money, identifiers and hard signs."""
+    bare = text if stripped else T.strip(text)
     light = f["colon_count"] + f["semicolon_count"] + f["bracket_count"] + f["hyphen_count"] + f["dash_count"]
     none = (f["native_digit_count"] + f["ascii_digit_count"] + f["currency_count"] + f["percent_count"] + f["slash_count"] == 0) & (f["identifier_likeness_score"] == 0)
-    return (T.strip(text) != "") & none & ~text.rlike(profile.hard_punct) & (light <= 2) & (f["special_character_density"] <= 0.06)
+    return (bare != "") & none & ~text.rlike(profile.hard_punct) & (light <= 2) & (f["special_character_density"] <= 0.06)
 
 
 def strong_signals(f: Column) -> Column:
@@ -145,17 +157,19 @@ def strong_signals(f: Column) -> Column:
 def scored(df: DataFrame, text: str, profile: Profile = DEVANAGARI, rules: LaneRules | None = None, f: str = "features", score: str = "complexity_score") -> DataFrame:
     """``df`` with the feature struct, score and flags of a text column."""
     rules = rules or LaneRules(allow_ascii_digits=profile.allow_ascii_digits)
-    out = df.withColumn("_clean", T.bound(T.nfc(F.col(text)))).withColumn(f, T.bound(features(F.col("_clean"), profile))).drop("_clean")
+    out = df.withColumn("_clean", T.bound(T.nfc(F.col(text)))).withColumn("_signs", T.bound(signs_of(F.col("_clean"))))
+    out = out.withColumn(f, T.bound(features(F.col("_clean"), profile, F.col("_signs")))).drop("_clean", "_signs")
     out = out.withColumn(score, complexity(F.col(f)))
-    c = F.col(f)
+    out = out.withColumn("_bare", T.bound(T.strip(F.coalesce(F.col(text), F.lit("")))))
+    c, bare = F.col(f), F.col("_bare")
     long_ = too_long(c, rules)
-    return out.withColumns(
+    out = out.withColumns(
         {
             "word_count": c["word_count"],
             "char_count": c["char_count"],
             "is_too_long": long_,
-            "is_trivial": trivial(F.col(text), c, F.col(score), rules, profile) | long_,
-            "is_ordinary": ordinary_prose(T.strip(F.coalesce(F.col(text), F.lit(""))), c, profile),
+            "is_trivial": trivial(bare, c, F.col(score), rules, profile, True) | long_,
+            "is_ordinary": ordinary_prose(bare, c, profile, True),
             "is_strong": strong_signals(c),
             "contains_native_numerals": c["native_digit_count"] > 0,
             "contains_special_chars": c["symbol_count"] > 0,
@@ -163,6 +177,7 @@ def scored(df: DataFrame, text: str, profile: Profile = DEVANAGARI, rules: LaneR
             "contains_conjuncts": c["conjunct_estimate"] > 0,
         }
     )
+    return out.drop("_bare")
 
 
 def lane(rules: LaneRules, label: Column | None = None, score: Column | None = None, f: Column | None = None) -> Column:

@@ -1,47 +1,44 @@
 """Text scalars as column expressions.
 
-Everything runs on the JVM; normalisation to NFC, for which Spark has no
-function, crosses to Python only with the rows that hold a character that NFC
-may change.
+Everything runs on the JVM; normalisation to NFC is the static method of the
+Unicode library that Spark ships with, called only for rows that hold a
+character that NFC may change.
 """
 
 from __future__ import annotations
 
-import unicodedata
-
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from millrace.functions.profiles import ASCII_DIGITS, JOINERS, MATRA, SPACE, VIRAMA, Profile
 
 # A superset of the characters that NFC can change or combine.
 _UNSTABLE = (
-    r"[\p{M}\x{0340}-\x{0345}\x{0374}\x{037E}\x{0387}\x{0958}-\x{095F}\x{09DC}-\x{09DF}\x{0A33}-\x{0A5E}\x{0B5C}\x{0B5D}"
+    r"[[^\x00-\x{2FF}]&&[\p{M}\x{0340}-\x{0345}\x{0374}\x{037E}\x{0387}\x{0958}-\x{095F}\x{09DC}-\x{09DF}\x{0A33}-\x{0A5E}\x{0B5C}\x{0B5D}"
     r"\x{0F43}-\x{0FB9}\x{1100}-\x{11FF}\x{1F00}-\x{1FFF}\x{2000}\x{2001}\x{2126}\x{212A}\x{212B}\x{2329}\x{232A}\x{2ADC}"
-    r"\x{F900}-\x{FAFF}\x{FB1D}-\x{FB4F}\x{1D100}-\x{1D1FF}\x{2F800}-\x{2FA1F}]"
+    r"\x{F900}-\x{FAFF}\x{FB1D}-\x{FB4F}\x{1D100}-\x{1D1FF}\x{2F800}-\x{2FA1F}]]"
 )
-
-
-@F.pandas_udf(StringType())
-def _nfc(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda t: None if t is None else unicodedata.normalize("NFC", t))
+# One blank of SPACE; the first test settles nearly every character.
+BLANK = rf"[[^!-~\x{{A1}}-\x{{167F}}]&&[{SPACE}]]"
+NOT_PLAIN = rf"[[^\x20-~\x{{A1}}-\x{{167F}}]&&[{SPACE}]]"
 
 
 def nfc(text: Column) -> Column:
     """Text in normal form C; null counts as empty."""
     text = F.coalesce(text, F.lit(""))
-    return F.coalesce(_nfc(F.when(text.rlike(_UNSTABLE), text)), text)
+    composed = F.reflect(F.lit("com.ibm.icu.text.Normalizer"), F.lit("compose"), text, F.lit(False))
+    return F.when((F.octet_length(text) != F.length(text)) & text.rlike(_UNSTABLE), composed).otherwise(text)
 
 
 def strip(text: Column) -> Column:
     """Without white space at either end, Unicode white space included."""
-    return F.regexp_replace(text, rf"^[{SPACE}]+|[{SPACE}]+$", "")
+    ends = F.concat(F.left(text, F.lit(1)), F.right(text, F.lit(1)))
+    return F.when(ends.rlike(BLANK), F.regexp_replace(text, rf"^{BLANK}++|{BLANK}++$", "")).otherwise(text)
 
 
 def collapse(text: Column) -> Column:
-    return F.regexp_replace(text, rf"[{SPACE}]+", " ")
+    """Runs of white space as one blank; single blanks need no change."""
+    return F.regexp_replace(text, rf"{BLANK}{{2,}}+|{NOT_PLAIN}", " ")
 
 
 def without_joiners(text: Column) -> Column:
@@ -66,7 +63,7 @@ def count_of(text: Column, part: str) -> Column:
 
 
 def words_of(text: Column) -> Column:
-    return F.filter(F.split(text, rf"[{SPACE}]+"), lambda w: w != "")
+    return F.array_remove(F.split(text, rf"{BLANK}++"), "")
 
 
 def word_count(text: Column) -> Column:
@@ -103,7 +100,7 @@ def band_issues(n: Column, low: int | None, high: int | None) -> list[Column]:
 
 def for_dedup(text: Column) -> Column:
     """NFC without any white space."""
-    return F.regexp_replace(nfc(text), rf"[{SPACE}]+", "")
+    return F.regexp_replace(nfc(text), rf"{BLANK}++", "")
 
 
 def for_compare(text: Column) -> Column:
@@ -158,6 +155,13 @@ def unicode_issues(text: Column) -> Column:
     return F.when(text.isNull(), F.array(F.lit("null_text"))).otherwise(F.concat(first, named))
 
 
+def unicode_report(text: Column, profile: Profile, least: float = 0.5) -> Column:
+    """Struct (ok, issues, text, mostly_native): the issues of a text, its form
+    C, and whether the profile's block holds most of its letters."""
+    issues = unicode_issues(text)
+    return F.struct((F.size(issues) == 0).alias("ok"), issues.alias("issues"), nfc(text).alias("text"), mostly_block(text, profile, least).alias("mostly_native"))
+
+
 def code_point(char: Column) -> Column:
     """Code point of a one-character string, from its UTF-32 form."""
     return F.conv(F.hex(F.encode(char, "UTF-32")), 16, 10).cast("int")

@@ -144,7 +144,9 @@ def cut(df: DataFrame) -> DataFrame:
     executors share."""
     spark = df.sparkSession
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder is None:
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="millrace-")
         spark.sparkContext.setCheckpointDir(folder)
     path = f"{folder.rstrip('/')}/cut-{uuid.uuid4().hex}"
@@ -206,23 +208,28 @@ def similar_text_flags(df: DataFrame, seq: str, text: str, least: float = 0.92)
     return pairs.select(F.col("earlier").alias("id_a"), F.col("later").alias("id_b"), T.py_round(F.col("similarity"), 4).alias("similarity"))
 
 
-def prefix_twins(df: DataFrame, seq: str, text: str, least: float = 0.88, prefix: int = 24) -> DataFrame:
+def prefix_twins(df: DataFrame, seq: str, text: str, least: float = 0.88, shortest: int = 16, prefix: int = 24) -> DataFrame:
     """Pairs (later, earlier, score) of texts of which one nearly begins the
-    other.  Both have ``prefix`` characters in common, which is the join key."""
-    rows = df.select(F.col(seq).alias("_seq"), T.for_dedup(F.col(text)).alias("_t")).where(F.length("_t") >= prefix).withColumn("_key", F.substr("_t", F.lit(1), F.lit(prefix)))
-    a = rows.select(F.col("_seq").alias("later"), F.col("_t").alias("_a"), "_key")
-    b = rows.select(F.col("_seq").alias("earlier"), F.col("_t").alias("_b"), "_key")
-    both = a.join(b, "_key").where("later > earlier")
+    other, of ``shortest`` characters or more.
+
+    Either the shorter begins the longer, or both have ``prefix`` characters
+    and most of the shorter in common; so they share the first ``shortest``, and
+    their lengths are in one or in neighbouring classes: that is the join key."""
+    rows = df.select(F.col(seq).alias("_seq"), T.for_dedup(F.col(text)).alias("_t")).where(F.length("_t") >= shortest)
+    level = F.floor(F.ln(F.length("_t").cast("double")) / F.ln(F.lit(1 / least)))
+    rows = rows.withColumns({"_key": F.substr("_t", F.lit(1), F.lit(shortest)), "_level": level}).withColumn("_bucket", F.explode(F.array("_level", F.col("_level") + 1)))
+    side = lambda seq_, t, level_: rows.select(F.col("_seq").alias(seq_), F.col("_t").alias(t), F.col("_level").alias(level_), "_key", "_bucket")
+    both = side("later", "_a", "_la").join(side("earlier", "_b", "_lb"), ["_key", "_bucket"]).where("later > earlier AND _bucket = greatest(_la, _lb)")
     short = F.when(F.length("_a") <= F.length("_b"), F.col("_a")).otherwise(F.col("_b"))
     long_ = F.when(F.length("_a") <= F.length("_b"), F.col("_b")).otherwise(F.col("_a"))
     n = common_prefix_length(F.col("_s"), F.col("_l"))
     both = both.withColumn("_s", short).withColumn("_l", long_).where(F.length("_s") >= F.length("_l") * F.lit(least))
-    both = both.withColumn("_n", n).where((F.col("_n") == F.length("_s")) | (F.col("_n") >= F.length("_s") * 0.88))
+    both = both.withColumn("_n", T.bound(n)).where((F.col("_n") == F.length("_s")) | (F.col("_n") >= prefix) & (F.col("_n") >= F.length("_s") * 0.88))
     return both.withColumn("score", F.col("_n") / F.length("_l")).where(F.col("score") >= least).select("later", "earlier", "score")
 
 
 def common_prefix_length(a: Column, b: Column) -> Column:
     """Length of the common prefix, by halving the length in question."""
     step = lambda acc, k: F.when(F.substr(a, F.lit(1), acc + k) == F.substr(b, F.lit(1), acc + k), F.least(acc + k, F.length(a), F.length(b))).otherwise(acc)
-    powers = F.array(*[F.lit(1 << i) for i in range(20, -1, -1)])
+    powers = F.array(*[F.lit(1 << i) for i in range(30, -1, -1)])
     return F.aggregate(powers, F.lit(0), lambda acc, k: step(acc, k))

@@ -11,6 +11,16 @@ from millrace.functions.profiles import DEVANAGARI, Profile
 
 DISCOVERY_DPI = 180
 MAX_LINE_HEIGHT = 72.0
+LINES_PER_DOC = 1_000_000_000
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over as many tasks as there are cores, if its files give fewer: a
+    small table in one piece would leave all but one core idle.  A table of
+    more pieces than that is left as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    pieces = df._jdf.queryExecution().toRdd().getNumPartitions()
+    return df if pieces >= cores else df.repartition(cores)
 
 
 def text_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -19,7 +29,7 @@ def text_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", keep
     ``seq`` orders all lines as the texts do; null texts have none."""
     kept = [F.col(c) for c in keep or []]
     lines = docs.select(F.col(doc_id).alias("doc_id"), *kept, F.posexplode(F.split(F.col(text), "\n")).alias("line_no", "line"))
-    return lines.withColumn("seq", F.col("doc_id") * 1_000_000 + F.col("line_no"))
+    return lines.withColumn("seq", F.col("doc_id") * LINES_PER_DOC + F.col("line_no"))
 
 
 def scaled_words(words: DataFrame, dpi: int = DISCOVERY_DPI) -> DataFrame:
@@ -71,8 +81,11 @@ def acceptable(text: Column, profile: Profile) -> Column:
 
 def candidates(units: DataFrame, keys: list[str], profile: Profile = DEVANAGARI, rules: S.LaneRules | None = None, per_line: int = 1, dual_lane: bool = True, least_score: float = 0.0) -> DataFrame:
     """Scored units that pass the gates, the best ``per_line`` of each line
-    (``keys``), one per text.  ``units`` has ``text`` and ``unit_no``."""
+    (``keys``), one per text.  ``units`` has ``text`` and ``unit_no``; with
+    ``line_height_180``, lines over ``MAX_LINE_HEIGHT`` are left out."""
     rules = rules or S.LaneRules(allow_ascii_digits=profile.allow_ascii_digits)
+    if "line_height_180" in units.columns:
+        units = units.where(F.col("line_height_180") <= MAX_LINE_HEIGHT)
     clean = units.withColumn("text", T.normalise_line(F.col("text"), profile.allow_ascii_digits)).where("text IS NOT NULL")
     scored = S.classify(clean.where(acceptable(F.col("text"), profile)), "text", profile, rules)
     if dual_lane:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import random
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -18,34 +18,17 @@ def base_lane_counts(profile: dict[str, Any], config: dict[str, Any] | None = No
     return max(0, int(hard)), max(0, int(normal))
 
 
-def lane_targets(target: int | None = None, hard: int | None = None, normal: int | None = None, profile: dict[str, Any] | None = None, config: dict[str, Any] | None = None) -> tuple[int, int]:
-    """Lane sizes from a total, from explicit counts or from the base ratio."""
-    base_hard, base_normal = base_lane_counts(profile or {}, config)
-    whole = None if target is None else max(0, int(target))
-    match (whole, hard, normal):
-        case (_, int(), int()):
-            return max(0, hard), max(0, normal)
-        case (int(), int(), None):
-            share = min(max(0, hard), whole)
-            return share, whole - share
-        case (int(), None, int()):
-            share = min(max(0, normal), whole)
-            return whole - share, share
-        case (int(), None, None):
-            share = round(whole * (base_hard / max(base_hard + base_normal, 1)))
-            low, high = (1, whole - 1) if base_hard and base_normal and whole >= 2 else (0, whole)
-            share = min(high, max(low, share))
-            return share, whole - share
-        case (None, int(), None):
-            return max(0, hard), base_normal
-        case (None, None, int()):
-            return base_hard, max(0, normal)
-    return base_hard, base_normal
+def lane_targets(spark: SparkSession, target: int | None = None, hard: int | None = None, normal: int | None = None, profile: dict[str, Any] | None = None, config: dict[str, Any] | None = None) -> tuple[int, int]:
+    """Lane sizes from a total, from explicit counts or from the base ratio:
+    ``scaled_quotas`` of one request."""
+    request = (target, hard, normal, *base_lane_counts(profile or {}, config))
+    row = spark.createDataFrame([request], "target int, hard int, normal int, base_hard int, base_normal int")
+    got = scaled_quotas(row).first()
+    return got["hard_target"], got["normal_target"]
 
 
 def scaled_quotas(df: DataFrame, target: str = "target", hard: str = "hard", normal: str = "normal", base_hard: str = "base_hard", base_normal: str = "base_normal") -> DataFrame:
-    """The same rule over a table of requests: columns hard_target and
-    normal_target."""
+    """A table of requests with the columns hard_target and normal_target."""
     t, h, n, bh, bn = (F.col(c) for c in (target, hard, normal, base_hard, base_normal))
     zero = F.lit(0)
     whole = F.greatest(t, zero)
@@ -127,8 +110,11 @@ def select_lanes(df: DataFrame, hard_target: int, normal_target: int, per_source
     score, words = F.coalesce("complexity_score", F.lit(0.0)), F.coalesce("word_count", F.lit(0))
     hard_order = [score.desc(), F.col("contains_native_numerals").desc(), F.col("features.identifier_likeness_score").desc(), F.col(seq)]
     hard = select_lane(df.where((F.col("difficulty") == "hard") & (score >= min_hard)), hard_target, per_source, hard_order, source=source)
-    taken = hard.groupBy(source).agg(F.count(F.lit(1)).alias("taken"))
-    normal = df.where((F.col("difficulty") == "normal") & F.col("is_ordinary")).join(taken.select(source, F.lit(1).alias("_used")), source, "left")
+    # rows without a source count as one source, in both lanes
+    named = F.coalesce(F.col(source).cast("string"), F.lit("unknown"))
+    taken = hard.groupBy(named.alias(source)).agg(F.count(F.lit(1)).alias("taken"))
+    used = taken.select(F.col(source).alias("_sid"), F.lit(1).alias("_used"))
+    normal = df.where((F.col("difficulty") == "normal") & F.col("is_ordinary")).withColumn("_sid", named).join(used, "_sid", "left").drop("_sid")
     normal_order = [words.desc(), score.desc(), F.coalesce("_used", F.lit(0)), F.col(seq)]
     picked = select_lane(normal, normal_target, per_source, normal_order, taken, source).drop("_used")
     return hard.unionByName(picked)

@@ -16,6 +16,7 @@ from millrace.operators import accept as A
 from millrace.operators import dedup as D
 from millrace.operators import lines as L
 from millrace.operators import select as Q
+from millrace.sources.recognisers import page_bands
 
 
 def extract(docs: DataFrame, profile: Profile = LATIN, source: str = "source") -> DataFrame:
@@ -81,6 +82,36 @@ class MiningLoop:
         return False, history
 
 
+def mine_until(docs: DataFrame, loop: MiningLoop | None = None, profile: Profile = LATIN, per_source: int = 8, order: str = "doc_id") -> tuple[bool, list[tuple[int, int, int, int]], DataFrame]:
+    """Run the stages over more and more documents until the loop ends: whether
+    the targets are met, the rounds (number, hard, normal, documents), and the
+    last selection."""
+    loop, last = loop or MiningLoop(), []
+
+    def mine(number: int, budget: int) -> tuple[int, int, int]:
+        chosen = D.cut(docs.orderBy(order).limit(budget))
+        picked = D.cut(mine_documents(chosen, profile, loop.hard, loop.normal, per_source))
+        last[:] = [picked]
+        n = {r["difficulty"]: r["count"] for r in picked.groupBy("difficulty").count().collect()}
+        return n.get("hard", 0), n.get("normal", 0), chosen.count()
+
+    met, history = loop.run(mine)
+    return met, history, last[0]
+
+
+def page_candidates(words: DataFrame, rasters: DataFrame, keys: list[str], profile: Profile = LATIN, rules: S.LaneRules | None = None) -> DataFrame:
+    """Candidates of pages (``keys``): scored lines of their words, best of each
+    line, and for pages that give none the bands of their raster.  Words are
+    boxes in points; rasters have pixels row by row and their width."""
+    lines = L.page_lines(L.scaled_words(words), keys, profile.allow_ascii_digits)
+    units = lines.withColumn("unit_no", F.lit(0))
+    found = D.cut(L.candidates(units, [*keys, "block", "line"], profile, rules).select(*keys, "text", "bbox_180", "difficulty", "complexity_score", "crop_type"))
+    bands = page_bands(L.pages_without(rasters, found, keys), keys).join(rasters.select(*keys, "width"), keys)
+    box = F.array(F.lit(0.0), F.col("top").cast("double"), F.col("width").cast("double"), F.col("bottom").cast("double"))
+    seen = bands.select(*keys, F.lit("").alias("text"), box.alias("bbox_180"), F.lit("hard").alias("difficulty"), F.col("visual_score").alias("complexity_score"), F.lit("visual_band").alias("crop_type"))
+    return found.unionByName(seen)
+
+
 def mine_documents(docs: DataFrame, profile: Profile = LATIN, hard: int = 80, normal: int = 20, per_source: int = 8) -> DataFrame:
     """The run without a model: extract, validate, select."""
     found = validate(extract(docs, profile), profile).where("valid")

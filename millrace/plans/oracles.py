@@ -33,7 +33,7 @@ LINES = f"""raw AS (
          generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line_no
   FROM documents WHERE text IS NOT NULL),
 lines AS (SELECT * FROM (
-  SELECT doc_id, source_id, CAST(line_no AS INTEGER) AS line_no, doc_id * 1000000 + line_no AS seq,
+  SELECT doc_id, source_id, CAST(line_no AS INTEGER) AS line_no, doc_id * 1000000000 + line_no AS seq,
          translate(regexp_replace({strip('line')}, '[{SPACE}]+', ' ', 'g'), chr(8205) || chr(8204), '') AS text
   FROM raw) WHERE text <> '')"""
 
@@ -228,10 +228,94 @@ BOXES = """boxes AS (SELECT l_orderkey, l_orderkey * 1000 + row_number() OVER (P
     (l_partkey % 12)::DOUBLE AS x0, (l_suppkey % 4)::DOUBLE AS y0, (l_partkey % 12)::DOUBLE + 60.0::DOUBLE + l_quantity AS x1, (l_suppkey % 4)::DOUBLE + 20.0::DOUBLE AS y1 FROM lineitem)"""
 
 _SIGNS = " | ".join(f"(CASE WHEN embedding[{i + 1}] > 0 THEN {1 << i}::UBIGINT ELSE 0::UBIGINT END)" for i in range(64))
-_SIGNED = f"SELECT vec_id, ({_SIGNS}) AS bits FROM embeddings"
+_OWN = f"(SELECT vec_id, ({_SIGNS}) AS bits FROM embeddings)"
+_SIGNED = f"""SELECT * FROM {_OWN} UNION ALL SELECT vec_id + 1000000, xor(bits, 1::UBIGINT << (vec_id % 63)::UBIGINT) FROM {_OWN} WHERE vec_id % 20 = 0
+  UNION ALL SELECT vec_id + 2000000, bits FROM {_OWN} WHERE vec_id % 50 = 0"""
 _NEAR = f"vecs AS ({_SIGNED}), near AS (SELECT a.vec_id AS later, b.vec_id AS earlier, CAST(bit_count(xor(a.bits, b.bits)) AS INTEGER) AS dist FROM vecs a JOIN vecs b ON a.vec_id > b.vec_id WHERE bit_count(xor(a.bits, b.bits)) <= 8)"
 
+def _iou(a: str, b: str) -> str:
+    inter = f"(greatest(0.0::DOUBLE, least({a}.x1, {b}.x1) - greatest({a}.x0, {b}.x0)) * greatest(0.0::DOUBLE, least({a}.y1, {b}.y1) - greatest({a}.y0, {b}.y0)))"
+    return f"{inter} / (({a}.x1 - {a}.x0) * ({a}.y1 - {a}.y0) + ({b}.x1 - {b}.x0) * ({b}.y1 - {b}.y0) - {inter})"
+
+
+# a fold over the boxes of an order, in order: a box joins those that stay
+GREEDY = f"""{BOXES}, listed AS (SELECT l_orderkey, list([struct_pack(seq := seq, x0 := x0, y0 := y0, x1 := x1, y1 := y1)] ORDER BY seq) AS bs FROM boxes GROUP BY 1),
+stays AS (SELECT l_orderkey, unnest(list_reduce(bs, lambda acc, x: CASE WHEN len(list_filter(acc, lambda a: {_iou("a", "x[1]")} >= 0.85::DOUBLE)) = 0 THEN list_concat(acc, x) ELSE acc END)) AS b FROM listed)"""
+
+_CLEAN = "translate(coalesce(text, ''), chr(8205) || chr(8204), '')"
+ISSUES = rf"""CASE WHEN text IS NULL THEN 'null_text' ELSE concat_ws('|', CASE WHEN contains(text, chr(65533)) THEN 'replacement_character' END,
+  CASE WHEN nfc_normalize({_CLEAN}) <> {_CLEAN} THEN 'not_nfc_normalized' END,
+  array_to_string(list_transform(regexp_extract_all({_CLEAN}, '[\x00-\x08\x0B-\x1F\x7F-\x{{9F}}\p{{Cf}}\p{{Co}}]'), lambda c: 'control_char_U+' || printf('%04X', ord(c))), '|')) END"""
+
+_TOKEN = "chr(list_position(u, t)::INTEGER)"
+# each token of a pair is one byte, so the distance of strings is that of lists
+TOKENS = f"""WITH {READINGS}, toks AS (SELECT item_id, backend, list_filter(string_split(r, ' '), lambda w: w <> '') AS rt, list_filter(string_split(h, ' '), lambda w: w <> '') AS ht FROM clean),
+coded AS (SELECT *, list_distinct(list_concat(rt, ht)) AS u FROM toks),
+wer AS (SELECT item_id, backend, CASE WHEN len(rt) = 0 THEN (len(ht) > 0)::INT::DOUBLE
+  ELSE levenshtein(array_to_string(list_transform(rt, lambda t: {_TOKEN}), ''), array_to_string(list_transform(ht, lambda t: {_TOKEN}), ''))::DOUBLE / len(rt) END AS wer FROM coded)"""
+
+SPANS = rf"""WITH {LINES}, w AS (SELECT seq, list_filter(regexp_split_to_array(text, '[{SPACE}]+'), lambda x: x <> '') AS ws FROM lines),
+a AS (SELECT seq, ws, unnest(generate_series(0, len(ws) - 1)) AS i FROM w),
+b AS (SELECT seq, ws, i, unnest(generate_series(i, least(len(ws) - 1, i + 25))) AS j FROM a),
+c AS (SELECT seq, CAST(i AS INTEGER) AS span_i, CAST(j AS INTEGER) AS span_j, array_to_string(ws[i + 1:j + 1], ' ') AS span_text FROM b)
+SELECT * FROM c WHERE NOT regexp_matches(span_text, '[0-9]') AND length(nfc_normalize(span_text)) BETWEEN 20 AND 25"""
+
+TWINS = rf"""WITH {LINES}, d AS (SELECT text, min(seq) AS seq FROM lines GROUP BY 1),
+t AS (SELECT seq, regexp_replace(nfc_normalize(text), '[{SPACE}]+', '', 'g') AS t FROM d),
+k AS (SELECT seq, t, left(t, 16) AS k FROM t WHERE length(t) >= 16),
+p AS (SELECT a.seq AS later, b.seq AS earlier, CASE WHEN length(a.t) <= length(b.t) THEN a.t ELSE b.t END AS s, CASE WHEN length(a.t) <= length(b.t) THEN b.t ELSE a.t END AS l
+  FROM k a JOIN k b USING (k) WHERE a.seq > b.seq AND least(length(a.t), length(b.t)) >= greatest(length(a.t), length(b.t)) * 0.88::DOUBLE),
+n AS (SELECT *, coalesce(list_min(list_filter(generate_series(1, length(s)), lambda i: substr(s, i, 1) <> substr(l, i, 1))), length(s) + 1) - 1 AS n FROM p),
+f AS (SELECT later, earlier, n::DOUBLE / length(l) AS score FROM n WHERE n = length(s) OR (n >= 24 AND n >= length(s) * 0.88::DOUBLE))
+SELECT * FROM f WHERE score >= 0.88::DOUBLE"""
+
+_NAME = r"regexp_extract(regexp_replace(regexp_replace(url, '[?#].*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://[^/]*', ''), '([^/]*)/*$', 1)"
+FILES = rf"""WITH a AS (SELECT page_id, {_NAME} AS raw FROM pages), b AS (SELECT page_id, regexp_replace(CASE WHEN raw = '' THEN 'doc_' || printf('%04d', page_id) || '.pdf' ELSE raw END, '[^\p{{L}}\p{{N}}_.-]+', '_', 'g') AS c FROM a)
+SELECT page_id, printf('%04d', page_id) || '_' || CASE WHEN lower(c) LIKE '%.pdf' THEN c ELSE c || '.pdf' END AS name FROM b"""
+
+_AREA = "(doc_id * 37 + line_no * 101) % 1800"
+_TALL = "(doc_id * 13 + line_no * 7) % 240"
+STAGE = f"""{LANED}, crop AS (SELECT *, {_AREA} AS w, {_TALL} AS h FROM laned),
+seen AS (SELECT *, round(CASE WHEN w::DOUBLE / greatest(h, 1) >= 4.0 THEN 1.5::DOUBLE ELSE 0.0::DOUBLE END + CASE WHEN w >= 1200 THEN 0.8::DOUBLE ELSE 0.0::DOUBLE END + CASE WHEN h BETWEEN 40 AND 180 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END + 1.2::DOUBLE, 4) AS v FROM crop)
+SELECT seq, CASE WHEN line_no % 10 <> 5 THEN difficulty WHEN v >= 3.0 THEN 'hard' ELSE 'normal' END AS difficulty, CASE WHEN line_no % 10 <> 5 THEN complexity_score ELSE v END AS complexity_score,
+  CASE WHEN line_no % 10 <> 5 THEN hard_signal_source ELSE 'visual_provisional' END AS hard_signal_source, CASE WHEN line_no % 10 <> 5 THEN 'text' ELSE 'visual' END AS scoring_mode_used
+FROM seen WHERE line_no % 10 = 5 OR difficulty <> 'reject'"""
+
+TASKS = f"""{LANED} SELECT seq AS id, CASE WHEN seq % 6 = 0 OR seq % 4 <> 0 THEN text WHEN seq % 3 <> 0 THEN replace(text, 'e', 'c') ELSE '' END AS text,
+  CASE WHEN seq % 3 <> 0 THEN replace(text, 'e', 'c') ELSE '' END AS ocr_prediction, difficulty AS intended_lane, source_id, {REGION} AS crop_type, word_count, char_count FROM laned"""
+
+
+def _counts(name: str, key: str, least: int = 0) -> str:
+    return f"""(SELECT '{{' || coalesce(string_agg('"' || k || '": ' || n, ', ' ORDER BY k), '') || '}}' FROM (SELECT {key} AS k, count(*) AS n FROM top GROUP BY 1 HAVING count(*) > {least})) AS {name}"""
+
+
+_PACKED = """count(*) AS total_samples, count(*) FILTER (lane4 = 'hard') AS hard_samples, count(*) FILTER (lane4 = 'normal') AS normal_samples, 0::BIGINT AS ascii_digit_violations,
+  count(*) FILTER (label = '') AS empty_text, count(DISTINCT source_id) AS sources_used"""
+_OVER = "(SELECT count(*) FROM (SELECT source_id FROM top GROUP BY 1 HAVING count(*) > 8))"
+_FULL = "count(*) FILTER (lane4 = 'hard') >= 80 AND count(*) FILTER (lane4 = 'normal') >= 20"
+PACKAGE = f"""{ACCEPTED}, sums AS (SELECT *, sha256(label) AS d, CAST('0x' || substr(sha256(label), 1, 15) AS BIGINT) AS bits FROM top),
+same AS (SELECT coalesce(sum(n - 1), 0)::BIGINT AS same FROM (SELECT count(*) AS n FROM sums GROUP BY d HAVING count(*) > 1)),
+near AS (SELECT count(*) AS near FROM sums a JOIN sums b ON a.seq > b.seq AND bit_count(xor(a.bits, b.bits)) <= 8),
+one AS (SELECT {_PACKED}, round(coalesce(avg(accepted_score), 0), 4) AS average_complexity_score, {_OVER} AS over_cap_sources, {_FULL} AS quota_met FROM top)
+SELECT one.*, same AS duplicate_samples, near AS near_duplicate_samples, 0::BIGINT AS missing_images, {_counts("issue_type_counts", issue("label"))}, {_counts("gt_sources", "gt_source")},
+  {_counts("per_source_counts", "source_id")}, {_counts("source_cap_violations", "source_id", 8)}, 0 AS ascii_digit_dropped, 0 AS text_near_duplicates,
+  quota_met AND over_cap_sources = 0 AND same = 0 AND near = 0 AND empty_text = 0 AS gate_ok FROM one, same, near"""
+
 ORACLES: dict[str, str] = {
+    "unicode_issues": f"SELECT doc_id, {ISSUES} AS issues FROM documents",
+    "unicode_report": f"SELECT doc_id, {ISSUES} = '' AS ok, {ISSUES} AS issues, sha256(nfc_normalize(coalesce(text, ''))) AS text_sha256 FROM documents",
+    "word_spans": SPANS,
+    "prefix_twins": TWINS,
+    "file_names": FILES,
+    "bbox_greedy_dedup": f"WITH {GREEDY} SELECT b.seq AS seq FROM stays",
+    "crop_dedup": f"WITH {GREEDY}, keyed AS (SELECT b.seq AS seq, l_orderkey, (CAST(b.x0 AS BIGINT) * 7 + CAST(floor(b.x1) AS BIGINT)) % 40 AS part FROM stays) SELECT seq FROM keyed QUALIFY count(*) OVER (PARTITION BY l_orderkey, part) = 1",
+    "page_links": """SELECT DISTINCT page_id, url AS source_page, regexp_extract(url, '^[a-z]+://[^/]+') || '/' || w || '.pdf' AS link FROM (SELECT page_id, url, unnest(regexp_extract_all(html, 'href="/([A-Za-z]+)"', 1)) AS w FROM pages)""",
+    "ocr_word_metrics": f"{TOKENS} SELECT item_id, backend, wer, NULL::DOUBLE AS conjunct_error_rate, FALSE AS conjunct_applicable FROM wer",
+    "score_stage": STAGE,
+    "verdict_tasks": TASKS,
+    "seed_benchmark": "SELECT 'images/' || item_id || '.png' AS image_filename, text AS expected_text, CASE WHEN item_id % 2 = 0 THEN 'date_issue' ELSE '' END AS issue_type, regexp_matches(coalesce(text, ''), '[0-9]') AS contains_native_digits FROM benchmark WHERE item_id % 7 <> 0",
+    "export_report": f"{ACCEPTED} SELECT {_PACKED}, round(coalesce(avg(accepted_score), 0), 6) AS average_complexity_score, {_OVER} AS over_cap_sources, {_FULL} AS quota_met, {_FULL} AND count(*) FILTER (label = '') = 0 AND {_OVER} = 0 AS gate_ok FROM top",
+    "package_report": PACKAGE,
     "line_units": f"WITH {LINES} SELECT doc_id, line_no, seq, text, {WORDS} AS word_count FROM lines",
     "text_features": f"WITH {LINES}, {FEATURES} SELECT seq, native_digit_count, ascii_digit_count, slash_count, period_count, comma_count, hyphen_count, dash_count, colon_count, semicolon_count, bracket_count, symbol_count, currency_count, percent_count, conjunct_estimate, matra_score, text_length, char_count, word_count, numeric_density, special_character_density, identifier_likeness_score, reference_pattern_score, dense_text_score FROM feats",
     "complexity_score": f"{LANED} SELECT seq, raw_score, score AS complexity_score FROM scored",

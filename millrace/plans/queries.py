@@ -25,6 +25,7 @@ from millrace.operators import lines as L
 from millrace.operators import metric_summary as MS
 from millrace.operators import select as Q
 from millrace.plans import mining as P
+from millrace.plans import stages as G
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -41,8 +42,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, source_id, line_no, seq, text of all lines that have a text."""
-    raw = L.text_lines(table(spark, sf_dir, "documents"), keep=["source"]).withColumnRenamed("source", "source_id")
-    return raw.withColumn("text", T.normalise_line(F.col("line"), True)).where("text != ''").drop("line")
+    raw = L.text_lines(L.spread(table(spark, sf_dir, "documents")), keep=["source"]).withColumnRenamed("source", "source_id")
+    return raw.withColumn("text", T.bound(T.normalise_line(F.col("line"), True))).where("text != ''").drop("line")
 
 
 def laned(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -161,7 +162,13 @@ def exact_hash_groups(spark, sf_dir):
 
 
 def hashes(spark, sf_dir):
-    return table(spark, sf_dir, "embeddings").select("vec_id", D.sign_bits(F.col("embedding"), 64).alias("bits"))
+    """Sign bits of all vectors, some of them again with one bit turned and some
+    again as they are, so that there are near and equal hashes."""
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", D.sign_bits(F.col("embedding"), 64).alias("bits"))
+    turned = F.array(F.col("bits")[0].bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), (F.col("vec_id") % 63).cast("int"))))
+    near = rows.where("vec_id % 20 = 0").select((F.col("vec_id") + 1000000).alias("vec_id"), turned.alias("bits"))
+    same = rows.where("vec_id % 50 = 0").select((F.col("vec_id") + 2000000).alias("vec_id"), "bits")
+    return rows.unionByName(near).unionByName(same)
 
 
 @query
@@ -201,8 +208,10 @@ def prefix_twins(spark, sf_dir):
 
 @query
 def near_dup_pairs(spark, sf_dir):
-    rows = D.first_by(stored(laned(spark, sf_dir)).where("difficulty = 'hard'"), ["text"], ["seq"])
-    return D.similar_text_flags(rows, "seq", "text", 0.92)
+    rows = D.first_by(stored(laned(spark, sf_dir)).where("difficulty = 'hard'"), ["text"], ["seq"]).select("seq", "text")
+    # some lines once more without their last word
+    again = rows.where("seq % 7 = 0").select((-F.col("seq") - 1).alias("seq"), F.regexp_replace("text", " [^ ]*$", "").alias("text"))
+    return D.similar_text_flags(rows.unionByName(again), "seq", "text", 0.92)
 
 
 @query
@@ -344,7 +353,9 @@ def backend_scores(spark, sf_dir):
 
 @query
 def page_links(spark, sf_dir):
-    return U.page_links(table(spark, sf_dir, "pages"), "example.com", keys=["page_id"]).drop("pos", "kind")
+    """Links of the navigation, as if they led to documents."""
+    pages = table(spark, sf_dir, "pages").withColumn("html", F.regexp_replace("html", 'href="/([A-Za-z]+)"', 'href="/$1.pdf"'))
+    return U.page_links(pages, "pdf", keys=["page_id"]).drop("pos", "kind")
 
 
 @query
@@ -430,6 +441,73 @@ def mining_run(spark, sf_dir):
     return P.mine_documents(table(spark, sf_dir, "documents")).select("seq", "source_id", "difficulty", "complexity_score", "word_count", "crop_type")
 
 
+def crops(spark, sf_dir):
+    """Lines as crops with sizes; a fifth lacks the text layer, half of those a
+    reading too."""
+    size = {"image_width": (F.col("doc_id") * 37 + F.col("line_no") * 101) % 1800, "image_height": (F.col("doc_id") * 13 + F.col("line_no") * 7) % 240}
+    rows = lines(spark, sf_dir).withColumns({k: v.cast("int") for k, v in size.items()})
+    rows = rows.withColumns({"text_assist": F.when(F.col("line_no") % 5 != 0, F.col("text")).otherwise(""), "ocr_prediction": F.when(F.col("line_no") % 10 == 0, F.col("text")).otherwise("")})
+    return rows.withColumn("expected_text", F.lit("")).drop("text")
+
+
+@query
+def score_stage(spark, sf_dir):
+    done = G.score_stage(crops(spark, sf_dir), LATIN)
+    return done.select("seq", "difficulty", "complexity_score", "hard_signal_source", "scoring_mode_used")
+
+
+@query
+def verdict_tasks(spark, sf_dir):
+    rows = accept_rows(spark, sf_dir).withColumns({"id": F.col("seq"), "crop_type": T.region_type(F.col("text"), LATIN)})
+    return G.verdict_tasks(rows).select("id", "text", "ocr_prediction", "intended_lane", "context.source_id", "context.crop_type", "context.word_count", "context.char_count")
+
+
+@query
+def seed_benchmark(spark, sf_dir):
+    items = table(spark, sf_dir, "benchmark")
+    name = F.concat(F.col("item_id").cast("string"), F.lit(".png"))
+    labels = items.select(F.concat(F.lit("crops/"), name).alias("image_filename"), F.col("text").alias("expected_text"), F.when(F.col("item_id") % 2 == 0, "date_issue").alias("issue_type"))
+    return G.seed_benchmark(labels, items.where("item_id % 7 != 0").select(name.alias("name")), LATIN)
+
+
+@query
+def unicode_report(spark, sf_dir):
+    out = table(spark, sf_dir, "documents").withColumn("r", T.unicode_report(F.col("text"), LATIN))
+    return out.select("doc_id", "r.ok", F.array_join("r.issues", "|").alias("issues"), F.sha2(F.col("r.text"), 256).alias("text_sha256"))
+
+
+@query
+def crop_dedup(spark, sf_dir):
+    """Boxes that stay before recognition; some items of an order share an image."""
+    key = F.sha2(F.concat_ws("-", F.col("l_orderkey").cast("string"), (F.col("part") % 40).cast("string")), 256)
+    rows = boxes_ordered(spark, sf_dir).withColumn("part", F.col("box")[0].cast("bigint") * 7 + F.col("box")[2].cast("bigint"))
+    rows = rows.withColumn("sha256", key).withColumn("bits", hash_words(F.col("sha256")))
+    return G.dedup_before_reading(rows, ["l_orderkey"], "seq", "box", "sha256", "bits", most=4).select("seq")
+
+
+def hash_words(digest):
+    """60 bits of a digest as an image hash."""
+    return F.array(F.conv(F.substr(digest, F.lit(1), F.lit(15)), 16, 10).cast("bigint"))
+
+
+def packaged(spark, sf_dir):
+    top = stored(Q.top_of_lanes(stored(A.export_gate(accepted(spark, sf_dir))), 80, 20))
+    return top.withColumn("sha256", F.sha2("expected_text", 256)).withColumn("bits", hash_words(F.col("sha256")))
+
+
+@query
+def package_report(spark, sf_dir):
+    return G.package_report(packaged(spark, sf_dir), 80, 20, 8, LATIN)
+
+
+@query
+def validated_dedup(spark, sf_dir):
+    """Reasons of hard lines after validation, some of them rejected before."""
+    rows = laned(spark, sf_dir).where("difficulty = 'hard'").withColumn("sha256", F.sha2("text", 256)).withColumn("bits", hash_words(F.col("sha256")))
+    rows = rows.withColumn("reject_reason", F.when(F.col("seq") % 9 == 0, "too_short")).withColumn("expected_text", F.col("text"))
+    return G.dedup_validated(rows.select("seq", "sha256", "bits", "reject_reason", "expected_text", "complexity_score"), "seq", "sha256", "bits").select("seq", "reject_reason")
+
+
 def entry(spark: SparkSession, sf_dir: str = "/root/testdata/sf0.001") -> DataFrame:
     """The flagship: lines by lane and what decided it."""
     return lane_summary(spark, sf_dir)

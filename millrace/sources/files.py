@@ -6,6 +6,7 @@ import json
 import os
 from typing import Any
 
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -71,13 +72,31 @@ def update_manifest(manifest: DataFrame, rows: DataFrame) -> DataFrame:
 
 
 def manifest_count(spark: SparkSession, path: str) -> int:
-    """Sources in a manifest; an unreadable one has none."""
+    """Sources in a manifest; a missing or broken one has none."""
     try:
-        return read_json(spark, path, f"sources array<struct<{MANIFEST.replace(' ', ':').replace(',:', ',')}>>").select(F.size("sources")).first()[0]
-    except Exception:
+        return read_json(spark, path, f"sources array<struct<{MANIFEST.replace(' ', ':').replace(',:', ',')}>>").select(F.size("sources")).first()[0] or 0
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return 0
+    except PySparkException as error:
+        if "MALFORMED" not in str(error):
+            raise
         return 0
 
 
+def read_env(text: str, environment: dict[str, str] | None = None) -> dict[str, str]:
+    """Variables of an environment file's text, beneath those that are set:
+    ``KEY=value`` lines, quotes around a value and ``export`` before a key left
+    out, comments and other lines skipped."""
+    found = {}
+    for line in text.splitlines():
+        key, sign, value = line.strip().removeprefix("export ").partition("=")
+        if sign and key.strip() and not key.startswith("#"):
+            found[key.strip()] = value.strip().strip("\"'")
+    return {**found, **(dict(os.environ) if environment is None else environment)}
+
+
 def load_config(text: str | None, environment: dict[str, str] | None = None, overrides: dict[str, str] | None = None) -> dict[str, Any]:
     """Settings from JSON text or a YAML file's text; variables named in
     ``overrides`` (variable -> setting) win over both."""
@@ -108,6 +127,19 @@ def write_package(df: DataFrame, folder: str, report: dict[str, Any]) -> None:
     df.sparkSession.createDataFrame([(json.dumps(report, ensure_ascii=False),)], "value string").coalesce(1).write.mode("overwrite").text(f"{folder}/report")
 
 
+def write_dataset(df: DataFrame, internal: DataFrame, folder: str, split: DataFrame | None = None) -> None:
+    """Public rows, rows with their provenance and, with a split (image_filename,
+    split), one folder of public rows for each part."""
+    write_jsonl(df, f"{folder}/validation")
+    write_jsonl(internal, f"{folder}/metadata")
+    if split is not None:
+        write_jsonl_by(df.join(split.select("image_filename", "split"), "image_filename"), f"{folder}/parts", "split")
+
+
+def write_jsonl_by(df: DataFrame, path: str, column: str) -> None:
+    df.write.mode("overwrite").partitionBy(column).option("ignoreNullFields", False).json(path)
+
+
 def markdown_report(rows: list[dict[str, Any]], title: str, digits: int = 4) -> str:
     """Metric table as Markdown; what is missing reads n/a."""
     if not rows:

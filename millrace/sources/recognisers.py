@@ -7,6 +7,8 @@ task.
 
 from __future__ import annotations
 
+import importlib
+import io
 import time
 from collections.abc import Callable, Iterator
 from typing import Any, Protocol
@@ -78,6 +80,98 @@ class EchoBackend:
 register("echo", EchoBackend)
 
 
+def library(name: str, backend: str):
+    """A library that a backend needs; without it the error says so."""
+    try:
+        return importlib.import_module(name)
+    except ImportError as error:
+        raise RuntimeError(f"backend {backend!r} needs the library {name!r}, which is not installed") from error
+
+
+class TesseractBackend:
+    """Several page modes; the longest reading counts."""
+
+    name, modes = "tesseract", (7, 6, 13)
+
+    def __init__(self, lang: str = "mar", **_: Any):
+        self.engine, self.images, self.lang = library("pytesseract", self.name), library("PIL.Image", self.name), lang
+        self.version = str(self.engine.get_tesseract_version())
+
+    def detect(self, image: bytes) -> list[tuple[int, int, int, int]]:
+        return []
+
+    def recognize(self, image: bytes) -> str:
+        with self.images.open(io.BytesIO(image)) as page:
+            return longest_reading([self.engine.image_to_string(page, lang=self.lang, config=f"--psm {m}") for m in self.modes])
+
+
+class PaddleBackend:
+    name, version = "paddleocr", "1"
+
+    def __init__(self, lang: str = "mr", **_: Any):
+        self.engine, self.images = library("paddleocr", self.name).PaddleOCR(lang=lang), library("PIL.Image", self.name)
+
+    def detect(self, image: bytes) -> list[tuple[int, int, int, int]]:
+        return []
+
+    def recognize(self, image: bytes) -> str:
+        with self.images.open(io.BytesIO(image)) as page:
+            lines = self.engine.ocr(np.asarray(page.convert("RGB"))) or []
+        return " ".join(part[1][0] for block in lines for part in block or [])
+
+
+class SuryaBackend:
+    name, version = "surya", "1"
+
+    def __init__(self, **_: Any):
+        self.images = library("PIL.Image", self.name)
+        self.engine = library("surya.recognition", self.name).RecognitionPredictor()
+        self.finder = library("surya.detection", self.name).DetectionPredictor()
+
+    def detect(self, image: bytes) -> list[tuple[int, int, int, int]]:
+        with self.images.open(io.BytesIO(image)) as page:
+            return [tuple(int(x) for x in box.bbox) for box in self.finder([page])[0].bboxes]
+
+    def recognize(self, image: bytes) -> str:
+        with self.images.open(io.BytesIO(image)) as page:
+            return " ".join(line.text for line in self.engine([page], det_predictor=self.finder)[0].text_lines)
+
+
+for _maker in (TesseractBackend, PaddleBackend, SuryaBackend):
+    register(_maker.name, _maker)
+
+
+class Raster(Protocol):
+    """Turns a document into page images."""
+
+    def pages(self, content: bytes, dpi: int) -> Iterator[tuple[int, int, int, bytes]]: ...
+
+
+def render_pages(docs: DataFrame, make: Callable[[], Raster], dpi: int = 180, key: str = "source_id") -> DataFrame:
+    """(key, page, width, height, image, error) of the pages of documents (key,
+    content).  A document that cannot be rendered is one row with its error, a
+    raster that cannot be made one such row for each document."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        try:
+            raster, failure = make(), None
+        except Exception as error:
+            raster, failure = None, str(error)
+        names = [key, "page", "width", "height", "image", "error"]
+        for batch in batches:
+            for k, content in zip(batch[key], batch["content"], strict=True):
+                rows, problem = [], failure
+                try:
+                    if raster is not None:
+                        rows = [(k, n, w, h, image, None) for n, w, h, image in raster.pages(bytes(content), dpi)]
+                except Exception as error:
+                    rows, problem = [], str(error)
+                yield pd.DataFrame(rows or [(k, None, None, None, None, problem)], columns=names)
+
+    kind = docs.schema[key].dataType.simpleString()
+    return docs.select(key, "content").mapInPandas(run, f"{key} {kind}, page int, width int, height int, image binary, error string")
+
+
 def recognise(df: DataFrame, backend: str, make: Callable[[], Backend], key: str = "id", image: str = "image") -> DataFrame:
     """(key, ocr_prediction, ocr_backend, ocr_model_version, latency_ms, error).
 
@@ -135,6 +229,25 @@ def ink_bands(gray: np.ndarray, low: int = 28, high: int = 160, split: int = 70,
     return sorted(out, key=lambda b: -b["rank_score"])[:most]
 
 
+def page_bands(pages: DataFrame, keys: list[str], pixels: str = "pixels", width: str = "width") -> DataFrame:
+    """(keys, band_no, top, bottom, visual_score) of the text-like bands of grey
+    pages given row by row, best first; a page without pixels has none."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for page in batch.itertuples(index=False):
+                *key, raw, w = page
+                if raw is None or not w:
+                    continue
+                for n, band in enumerate(ink_bands(np.frombuffer(bytes(raw), np.uint8).reshape(-1, int(w)))):
+                    rows.append((*key, n, band["top"], band["bottom"], band["visual_score"]))
+            yield pd.DataFrame(rows, columns=[*keys, "band_no", "top", "bottom", "visual_score"])
+
+    kinds = ", ".join(f"`{k}` {pages.schema[k].dataType.simpleString()}" for k in keys)
+    return pages.select(*keys, pixels, width).mapInPandas(run, f"{kinds}, band_no int, top int, bottom int, visual_score double")
+
+
 def image_measures(df: DataFrame, key: str = "id", pixels: str = "pixels", width: str = "width") -> DataFrame:
     """(key, height, blur, contrast) of grey pixels given row by row."""
 

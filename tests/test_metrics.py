@@ -57,14 +57,14 @@ def test_slices_and_percentiles(spark):
 
 @pytest.mark.parametrize(("kwargs", "want"), [({"target": 100}, (80, 20)), ({"target": 1000}, (800, 200)), ({"hard": 10, "normal": 3}, (10, 3)), ({"target": 10, "hard": 4}, (4, 6)), ({"hard": 7}, (7, 20)), ({}, (80, 20))])
 def test_quotas(spark, kwargs, want):
-    assert Q.lane_targets(**kwargs) == want
+    assert Q.lane_targets(spark, **kwargs) == want
     row = spark.createDataFrame([(kwargs.get("target"), kwargs.get("hard"), kwargs.get("normal"), 80, 20)], "target int, hard int, normal int, base_hard int, base_normal int")
     got = Q.scaled_quotas(row).first()
     assert (got["hard_target"], got["normal_target"]) == want
 
 
-def test_small_targets_fill_both_lanes():
-    hard, normal = Q.lane_targets(target=5)
+def test_small_targets_fill_both_lanes(spark):
+    hard, normal = Q.lane_targets(spark, target=5)
     assert hard + normal == 5 and hard >= 1 and normal >= 1
     assert Q.headroom(10, 5) == 200 and Q.headroom(80, 20) == 400
 
