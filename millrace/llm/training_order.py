@@ -35,6 +35,7 @@ SEQ_LEN = 2048
 PER_SHARD = 4096
 KEY = 20_240_229
 ROUNDS = 6
+PASSES = 4  # in which the shards are written
 ID_BYTES = 2
 NO_DOC = -(1 << 63)
 
@@ -161,12 +162,15 @@ def write_shards(seqs: DataFrame, out: str, per_shard: int = PER_SHARD, seq_len:
                 rows.append(struct.pack("<Iq", n, NO_DOC if d is None else d) + raw + pad)
             yield pa.record_batch([pa.array(slot.to_numpy() // per_shard), slot, pa.array(rows, pa.binary())], names=["shard", "slot", "record"])
 
-    # ids travel unpadded and are padded by the task that writes them
+    # ids travel unpadded and are padded by the task that writes them; a pass
+    # moves its share of the shards, so only that share lies in shuffle files
     shards = max(1, -(-total // per_shard))
     placed = slotted.select("slot", "n_ids", "first_doc", "ids", F.floor(F.col("slot") / per_shard).cast("bigint").alias("shard"))
-    dealt = placed.repartitionByRange(min(shards, 100_000), "shard").sortWithinPartitions("shard", "slot")
-    records = dealt.select("slot", "n_ids", "first_doc", "ids").mapInArrow(run, "shard bigint, slot bigint, record binary")
-    records.select("shard", F.col("record").cast("string").alias("record")).write.mode("overwrite").partitionBy("shard").option("lineSep", "\n").option("compression", "none").text(out)
+    for k in range(PASSES):
+        dealt = placed.where(F.col("shard") % PASSES == k).repartitionByRange(min(-(-shards // PASSES), 100_000), "shard").sortWithinPartitions("shard", "slot")
+        records = dealt.select("slot", "n_ids", "first_doc", "ids").mapInArrow(run, "shard bigint, slot bigint, record binary")
+        lines = records.select("shard", F.col("record").cast("string").alias("record"))
+        lines.write.mode("append" if k else "overwrite").partitionBy("shard").option("lineSep", "\n").option("compression", "none").text(out)
     return total
 
 
