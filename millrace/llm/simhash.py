@@ -241,7 +241,8 @@ def components(links: DataFrame, rounds: int | None = None) -> DataFrame:
         # large star: larger neighbours go to the smallest of the neighbourhood
         both = edges.select(F.col("lo").alias("u"), F.col("hi").alias("v")).unionByName(edges.select(F.col("hi").alias("u"), F.col("lo").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.where("v > u").join(low, "u").select(F.col("m").alias("lo"), F.col("v").alias("hi")).where("lo < hi").distinct()
+        # the hub of a large component has most edges: its rows go to several tasks
+        large = join_spread(both.where("v > u"), low, "u", both, by="v").select(F.col("m").alias("lo"), F.col("v").alias("hi")).where("lo < hi").distinct()
         # small star: smaller neighbours and the node itself go to the smallest
         low = large.groupBy("hi").agg(F.min("lo").alias("m"))
         small = large.join(low, "hi").select(F.col("m").alias("lo"), F.col("lo").alias("hi")).where("lo < hi")
