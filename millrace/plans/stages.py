@@ -60,13 +60,13 @@ def score_stage(df: DataFrame, profile: Profile = DEVANAGARI, rules: S.LaneRules
     return (kept.where("NOT _alone") if skip else kept).drop("_text", "_blank", "_visual", "_alone")
 
 
-def dedup_before_reading(df: DataFrame, page: list[str], seq: str, box: str, digest: str, bits: str, least: float = 0.85, most: int = 8) -> DataFrame:
+def dedup_before_reading(df: DataFrame, page: list[str], seq: str, box: str, digest: str, bits: str, least: float = 0.85, most: int = 8, words: int = 1) -> DataFrame:
     """Candidates before recognition: of overlapping boxes on a page the first
     stays (greedily, in order), of equal images the first, and of near images
     the later, whatever becomes of it.  A row without a digest is like no other."""
     apart = D.cut(D.drop_same_boxes(df, page, seq, box, least))
     known = apart.where(F.col(digest).isNotNull() & F.col(bits).isNotNull())
-    kept = D.drop_duplicate_images(known, seq, digest, D.hamming_pairs(known, seq, bits, most))
+    kept = D.drop_duplicate_images(known, seq, digest, D.hamming_pairs(known, seq, bits, most, words))
     return kept.unionByName(apart.where(F.col(digest).isNull() | F.col(bits).isNull()))
 
 

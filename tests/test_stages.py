@@ -18,6 +18,7 @@ from millrace.operators import lines as L
 from millrace.operators import select as Q
 from millrace.plans import mining as P
 from millrace.plans import stages as G
+from millrace.plans.queries import QUERIES
 from millrace.sources import files, hosted
 from millrace.sources import recognisers as X
 
@@ -43,6 +44,13 @@ def test_duplicates_before_reading(spark):
     assert got == {1, 4, 7}  # 2 overlaps 1, 3 is near the later 4, and of an equal pair both go
 
 
+def test_different_crops_are_not_near_by_chance(spark, tmp_path):
+    # the images of these pairs differ, but agree in all but four of the first 60 bits of their digests
+    rows = [(k, 1, 0, 0, 20.0, 1.0) for k in (735175, 4084764, 2748856, 3825663)]
+    spark.createDataFrame(rows, "l_orderkey bigint, l_linenumber int, l_partkey bigint, l_suppkey bigint, l_quantity double, l_extendedprice double").write.parquet(f"{tmp_path}/lineitem.parquet")
+    assert {r["seq"] for r in QUERIES["crop_dedup"](spark, str(tmp_path)).collect()} == {k * 1000 + 1 for k, *_ in rows}
+
+
 def test_duplicates_after_validation(spark):
     text = "the same long line of text with many words in it"
     rows = [(1, "a", [0], text, None, 1.0), (2, "b", [1 << 30], text + " x", None, 2.0), (3, "c", [0xFFFF0000FFFF], "another text altogether", None, 1.0), (4, "d", [0xFFFF0000FFFE], "rejected before", "too_short", 1.0), (5, None, None, "no image here", None, 1.0)]
