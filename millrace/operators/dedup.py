@@ -9,12 +9,14 @@ from __future__ import annotations
 import itertools
 import tempfile
 import uuid
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from millrace.functions import text as T
-from millrace.functions.python_side import similarity_of
+from millrace.functions.python_side import similar_in_lots
 
 
 def first_by(df: DataFrame, keys: list[str | Column], order: list[str | Column]) -> DataFrame:
@@ -159,46 +161,76 @@ def similar_texts(df: DataFrame, seq: str, text: str, least: float = 0.92, keys:
     takes the later text first.  ``keys`` restricts pairs to equal columns.
 
     Rows are grouped by normalised text first, so copies are compared once.
-    Candidate pairs are those of neighbouring length classes; their lengths and
-    character counts bound the similarity from above, and only pairs that pass
-    go to Python.
     """
     keys = keys or []
     rows = cut(df.select(*keys, F.col(seq).alias("_seq"), T.for_dedup(F.col(text)).alias("_t")))
-    ratio = least / (2 - least)
-    texts = rows.select(*keys, "_t").distinct().withColumns({"_n": F.length("_t"), "_h": letter_counts(F.col("_t"))})
-    level = F.floor(F.ln(F.greatest(F.col("_n"), F.lit(1)).cast("double")) / F.ln(F.lit(1 / ratio)))
-    wide = cut(texts.withColumn("_level", level).withColumn("_bucket", F.explode(F.array("_level", F.col("_level") + 1))))
-    side = lambda x: wide.select(*keys, "_bucket", *[F.col(c).alias(c + x) for c in ("_t", "_n", "_h", "_level")])
-    near = side("a").join(side("b"), [*keys, "_bucket"]).where("_ta != _tb AND _bucket = greatest(_levela, _levelb)")
-    near = near.where(F.least("_na", "_nb") >= F.greatest("_na", "_nb") * F.lit(ratio - 1e-9))
-    shared = F.aggregate(F.zip_with("_ha", "_hb", lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
-    near = near.where(shared * 2.0 >= (F.col("_na") + F.col("_nb")) * F.lit(least - 1e-9)).select(*keys, F.col("_ta").alias("_a"), F.col("_tb").alias("_b"))
-    found = near.withColumn("similarity", similarity_of("_a", "_b")).where(F.col("similarity") >= least)
-    same = rows.select(*keys, F.col("_t").alias("_a"), F.col("_t").alias("_b"), F.lit(1.0).alias("similarity")).distinct()
+    texts = cut(rows.select(*keys, "_t").distinct())
+    found = similar_distinct(texts, "_t", least, keys)
+    same = texts.select(*keys, F.col("_t").alias("_a"), F.col("_t").alias("_b"), F.lit(1.0).alias("similarity"))
     kinds = cut(found.unionByName(same))
     later = rows.select(*keys, F.col("_seq").alias("later"), F.col("_t").alias("_a"))
     earlier = rows.select(*keys, F.col("_seq").alias("earlier"), F.col("_t").alias("_b"))
     return later.join(kinds, [*keys, "_a"]).join(earlier, [*keys, "_b"]).where("later > earlier").select("later", "earlier", "similarity")
 
 
-LETTERS = "etaoinsrhldcumfpgwybvkxjqz"
+LOT_ROWS, LOT_CHARS = 1024, 2 << 20
 
 
-def letter_counts(text: Column) -> Column:
-    """Occurrences of each common letter, and of all other characters.  Two
-    texts have no more characters in common than the smaller of each."""
-    counts = [T.count_chars(text, c) for c in LETTERS]
-    return F.array(*counts, F.length(F.translate(text, LETTERS, "")))
+def similar_distinct(texts: DataFrame, text: str, least: float, keys: list[str]) -> DataFrame:
+    """(keys, _a, _b, similarity) of different texts, both ways round;
+    ``texts`` has no row twice.
+
+    Texts so similar are in one or in neighbouring length classes.  A class is
+    dealt into lots, and each task compares a pair of lots: lengths and counts
+    of letters and of runs of two and three letters bound the similarity from
+    above, and only pairs that pass are compared in full.  So no task is larger
+    than two lots, whatever the size of a class.
+    """
+    step = F.ln(F.lit((2 - least) / least * (1 + 1e-9)))
+    classed = texts.where(reduce(lambda x, y: x & y, [F.col(k).isNotNull() for k in keys], F.lit(True)))  # null keys are equal to none
+    classed = classed.withColumn("_level", F.floor(F.ln(F.greatest(F.length(text), F.lit(1)).cast("double")) / step))
+    # so many lots has each class, and those beside it
+    size = F.greatest(F.count(F.lit(1)) / LOT_ROWS, F.sum(F.length(text)) / LOT_CHARS, F.lit(1))
+    lots = cut(classed.groupBy(*keys, "_level").agg(F.ceil(size).cast("int").alias("_lots")))
+    beside = lambda shift, name: lots.select(*keys, (F.col("_level") + shift).alias("_level"), F.col("_lots").alias(name))
+    counts = cut(lots.join(beside(-1, "_above"), [*keys, "_level"], "left").join(beside(1, "_below"), [*keys, "_level"], "left"))
+    dealt = classed.join(counts, [*keys, "_level"]).withColumn("_lot", F.pmod(F.xxhash64(text), F.col("_lots")).cast("int"))
+    numbers = lambda n: F.when(F.col(n) > 0, F.sequence(F.lit(0), F.col(n) - 1)).otherwise(F.array().cast("array<int>"))
+    level, lot = F.col("_level"), F.col("_lot")
+
+    def task(level: Column, across: bool, low: Column, high: Column, side: int) -> Column:
+        parts = {"_level": level, "_across": F.lit(across), "_low": low, "_high": high, "_side": F.lit(side)}
+        return F.struct(*[c.alias(name) for name, c in parts.items()])
+
+    # within a class a pair of lots is (smaller, larger); across, (of this, of the next)
+    own = F.transform(numbers("_lots"), lambda j: F.when(j >= lot, task(level, False, lot, j, 0)).otherwise(task(level, False, j, lot, 1)))
+    up = F.transform(numbers("_above"), lambda j: task(level, True, lot, j, 0))
+    down = F.transform(numbers("_below"), lambda j: task(level - 1, True, j, lot, 1))
+    pair = ["_level", "_across", "_low", "_high"]
+    sent = dealt.select(*keys, F.col(text).alias("_a"), F.explode(F.concat(own, up, down)).alias("_task")).select(*keys, "_a", *[f"_task.{c}" for c in [*pair, "_side"]])
+    # a lot is little to send and much to compare, so tasks are not to be united for their size
+    tasks = max(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")), 4 * texts.sparkSession.sparkContext.defaultParallelism)
+    sent = sent.repartition(tasks, *keys, *pair)
+    kinds = {f.name: f.dataType for f in texts.schema.fields}
+    schema = StructType([*[StructField(k, kinds[k]) for k in keys], StructField("_a", StringType()), StructField("_b", StringType()), StructField("similarity", DoubleType())])
+    return sent.groupBy(*keys, *pair).applyInArrow(similar_in_lots(least, len(keys)), schema)
 
 
 def drop_similar_texts(df: DataFrame, seq: str, text: str, least: float = 0.92, prefer: str = "complexity_score", keys: list[str] | None = None) -> DataFrame:
     """Greedy by ``prefer`` and length, both falling, then ``seq``: a row goes
     if it is similar to one that stayed.  The rest come in their own order."""
-    order = Window.orderBy(F.desc(F.coalesce(F.col(prefer).cast("double"), F.lit(0.0))), F.desc(F.length(F.coalesce(F.col(text), F.lit("")))), seq)
-    ranked = cut(df.withColumn("_rank", F.row_number().over(order)))
-    pairs = similar_texts(ranked, "_rank", text, least, keys)
-    kept = maximal_independent(ranked.select(F.col("_rank").alias("node")), pairs.select(F.col("later").alias("low"), F.col("earlier").alias("high")))
+    keys = keys or []
+    order = [F.desc(F.coalesce(F.col(prefer).cast("double"), F.lit(0.0))), F.desc(F.length(F.coalesce(F.col(text), F.lit("")))), F.col(seq)]
+    # numbers that ascend in this order, over all tasks of the sort
+    ranked = cut(df.orderBy(*order).withColumn("_rank", F.monotonically_increasing_id()))
+    # a copy goes with whatever becomes of the first of its copies, so only that walks
+    plain = ranked.select(*keys, "_rank", T.for_dedup(F.col(text)).alias("_t"))
+    alone = reduce(lambda x, y: x | y, [F.col(k).isNull() for k in keys], F.lit(False))  # null keys are equal to none
+    firsts = cut(plain.where(~alone).groupBy(*keys, "_t").agg(F.min("_rank").alias("_rank")))
+    pairs = cut(similar_distinct(firsts.select(*keys, "_t"), "_t", least, keys))
+    ranks = lambda t, rank: firsts.select(*keys, F.col("_t").alias(t), F.col("_rank").alias(rank))
+    edges = pairs.join(ranks("_a", "low"), [*keys, "_a"]).join(ranks("_b", "high"), [*keys, "_b"]).where("low > high").select("low", "high")
+    kept = maximal_independent(firsts.select(F.col("_rank").alias("node")), edges).unionByName(plain.where(alone).select(F.col("_rank").alias("node")))
     return ranked.join(kept.select(F.col("node").alias("_rank")), "_rank", "left_semi").drop("_rank")
 
 

@@ -93,6 +93,32 @@ def test_near_duplicates_as_a_walk(spark):
         assert got == greedy(rows, least)
 
 
+def test_similar_texts_of_small_lots_against_all_pairs(spark, monkeypatch):
+    rng = random.Random(5)
+    texts = ["", "ab"]
+    for n in (20, 60, 190, 230, 400):
+        base = "".join(rng.choice(["the", "on", "re", "th", "A", "7", "x.", "in"]) for _ in range(n // 2))
+        for _ in range(4):
+            chars = list(base)
+            for _ in range(rng.randrange(1, 2 + n // 9)):
+                at = rng.randrange(len(chars))
+                chars[at : at + rng.randrange(2)] = rng.choice(["", "q", "e", "th"])
+            texts.append("".join(chars))
+        texts += [base, base, base[: int(len(base) * 0.93)]]
+    monkeypatch.setattr(D, "LOT_ROWS", 3)
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "seq int, text string")
+    for least in (0.88, 0.92):
+        got = {(r["later"], r["earlier"]): r["similarity"] for r in D.similar_texts(df, "seq", "text", least).collect()}
+        scores = {(i, j): similarity(texts[i], texts[j]) for i in range(len(texts)) for j in range(i)}
+        assert got == {k: s for k, s in scores.items() if s >= least}
+
+
+def test_many_copies_are_compared_once(spark):
+    # pairs of copies would be 200 million rows
+    df = spark.range(20000).select(F.col("id").alias("seq"), F.lit("a line that is everywhere").alias("text"), F.lit(1.0).alias("complexity_score"))
+    assert [r["seq"] for r in D.drop_similar_texts(df, "seq", "text").collect()] == [0]
+
+
 def test_prefix_twin_goes(spark):
     long_ = "हा एक लांब मजकूर आहे जो दुसऱ्या ओळीच्या सुरुवातीशी जुळतो"
     df = spark.createDataFrame([("a", 0, long_, 2.0), ("b", 1, long_[:-3], 1.5)], "id string, seq int, text string, complexity_score double")
