@@ -35,6 +35,7 @@ from __future__ import annotations
 import functools
 import hashlib
 import struct
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -51,8 +52,9 @@ SIDES = ((0, 23), (8, 16), (15, 8), (23, 0))  # a window has l before and 30 - l
 PIECE = 1 << 20
 PLACE_BITS = 22
 HOT = 20_000
+LOT = 1 << 20  # bytes of fragments under one index
 NO_ID = (1 << 63) - 1
-BLOCK_BYTES = 64 << 20  # of input files, for one task
+BLOCK_BYTES = 16 << 20  # of input files, for one task
 BASE = 0x9E3779B97F4A7C15 | 1
 
 
@@ -543,6 +545,28 @@ def earlier_windows(fragments: list[bytes], owners: np.ndarray, span: int = SPAN
     return back
 
 
+def _lots(anchors: np.ndarray, frags: list[bytes]) -> Iterator[np.ndarray]:
+    """Fragments in lots of about ``LOT`` bytes, each with an index of its own,
+    which takes some hundred times its text.  Equal windows have equal anchors,
+    so an anchor stays whole; single windows of one anchor are dealt by content."""
+    order = np.argsort(anchors, kind="stable")
+    size = np.array([len(frags[k]) + 1 for k in order.tolist()], np.int64)
+    ready, held = [], 0
+    for a, z in _runs(anchors[order]):
+        n, own = int(size[a:z].sum()), order[a:z]
+        if ready and held + n > LOT:
+            yield np.concatenate(ready)
+            ready, held = [], 0
+        if n > LOT and int(size[a:z].max()) == SPAN + 1:
+            part = np.array([zlib.crc32(frags[k]) for k in own.tolist()], np.int64) % -(-n // LOT)
+            yield from (own[part == p] for p in np.unique(part).tolist())
+            continue
+        ready.append(own)
+        held += n
+    if ready:
+        yield np.concatenate(ready)
+
+
 def _match(got: pa.Table) -> pa.Table:
     """Step 2, bucket side: windows of each fragment that occur earlier."""
     blocks, keys, anchors, owners, offs, frags = [], [], [], [], [], []
@@ -558,7 +582,10 @@ def _match(got: pa.Table) -> pa.Table:
         offs.append(off)
         blocks.append(np.full(len(k), block, np.int64))
     blocks, keys, anchors, owners, offs = map(np.concatenate, (blocks, keys, anchors, owners, offs))
-    found = earlier_windows(frags, owners)
+    found: list = [None] * len(frags)
+    for lot in _lots(anchors, frags):
+        for k, mask in zip(lot.tolist(), earlier_windows([frags[k] for k in lot.tolist()], owners[lot]), strict=True):
+            found[k] = mask
     masks = np.array([int((m.astype(np.uint64) << np.arange(len(m), dtype=np.uint64)).sum()) << int(o) for m, o in zip(found, offs.tolist(), strict=True)], np.uint64)
     told = np.flatnonzero(masks > 0)
     order = told[np.argsort(blocks[told], kind="stable")]

@@ -308,6 +308,17 @@ def test_run_length_index_streams_matching_statistics():
         assert matched[0] == 60 - place[0]
 
 
+def test_indexes_are_of_bounded_size(monkeypatch):
+    monkeypatch.setattr(repeats, "LOT", 400)
+    anchors = np.array([5, 1, 5, 2, 9, 9, 9, 9] + [7] * 30, np.uint64)
+    frags = [b"a" * 70, b"b" * 60, b"a" * 65, b"c" * 90, b"d" * 150, b"e" * 150, b"f" * 150, b"g" * 150] + [bytes([97 + k % 10]) * 50 for k in range(30)]
+    lots = [lot.tolist() for lot in repeats._lots(anchors, frags)]
+    assert sorted(k for lot in lots for k in lot) == list(range(len(frags)))
+    home = {k: n for n, lot in enumerate(lots) for k in lot}
+    assert home[0] == home[2] and len({home[k] for k in range(4, 8)}) == 1  # an anchor stays whole
+    assert all(home[k] == home[8 + (k - 8) % 10] for k in range(8, 38)) and len({home[k] for k in range(8, 38)}) > 1
+
+
 def test_index_keeps_nothing_per_row_of_a_repetitive_text():
     rng = random.Random(3)
     unit = "".join(rng.choice(WORDS) for _ in range(30)).encode()
