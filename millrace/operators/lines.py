@@ -51,23 +51,23 @@ def word_spans(lines: DataFrame, words: str, low: int, high: int) -> DataFrame:
     """All runs of words whose text has ``low`` to ``high`` characters, with
     span_i, span_j (inclusive) and span_text.  ``words`` is an array column of
     texts; a run longer than ``high`` + 1 characters cannot fit, so each start
-    explodes no further than that many words."""
-    n = F.size(words)
-    stable = ~F.array_join(words, " ").rlike(T._UNSTABLE)
-    sizes = F.transform(words, lambda w: F.length(T.without_joiners(w)))
-    sums = F.aggregate(sizes, F.array(F.lit(0)), lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + x)))
-    # where NFC changes nothing, the sizes of the words tell which runs fit
-    sized = lines.where(n > 0).withColumns({"_sums": sums, "_sure": stable & (F.array_min(sizes) > 0)})
-
-    def ends(i: Column) -> Column:
-        fits = lambda j: (F.col("_sums")[j + 1] - F.col("_sums")[i] + j - i).between(low, high) | ~F.col("_sure")
-        tries = F.sequence(i, F.least(F.size(words) - 1, i + high))
-        return F.transform(F.filter(tries, fits), lambda j: F.struct(i.alias("i"), j.alias("j")))
-
-    runs = F.flatten(F.transform(F.sequence(F.lit(0), n - 1), ends))
-    both = sized.withColumn("_run", F.explode(runs)).withColumns({"span_i": F.col("_run.i"), "span_j": F.col("_run.j")})
-    text = F.array_join(F.slice(words, F.col("span_i") + 1, F.col("span_j") - F.col("span_i") + 1), " ")
-    spanned = both.withColumn("span_text", T.normalise_line(text, False)).where("span_text IS NOT NULL").drop("_sums", "_sure", "_run")
+    takes no more than that many words along, and work is in proportion to the
+    words of a line: further columns of ``lines`` are carried if asked for."""
+    # where NFC changes nothing and no word vanishes, sizes tell which runs fit, and a fitting run has few words
+    bare = F.transform(words, lambda w: F.length(T.without_joiners(w)))
+    sure = ~F.array_join(words, " ").rlike(T._UNSTABLE) & (F.array_min(bare) > 0)
+    sized = lines.where(F.size(words) > 0).withColumn("_sure", T.bound(F.coalesce(sure, F.lit(False))))
+    most = F.when(F.col("_sure"), F.lit(high // 2 + 1)).otherwise(F.lit(high + 1))
+    starts = F.transform(words, lambda w, i: F.struct(i.alias("i"), F.slice(words, i + 1, most).alias("ws")))
+    at = sized.withColumn("_at", F.explode(starts)).withColumns({"span_i": F.col("_at.i"), "_ws": F.col("_at.ws")}).drop("_at")
+    # of a sure start the text of all its words, of which a fitting run is the beginning up to a blank or the end
+    at = at.withColumn("_all", T.bound(F.when(F.col("_sure"), T.without_joiners(F.array_join("_ws", " ")))))
+    ends = F.filter(F.sequence(F.lit(low), F.lit(high)), lambda n: (n == F.length("_all")) | (F.substr(F.col("_all"), n + 1, F.lit(1)) == " "))
+    known = F.transform(ends, lambda n: T.count_chars(F.left(F.col("_all"), n), " "))
+    runs = F.when(F.col("_sure"), known).otherwise(F.sequence(F.lit(0), F.size("_ws") - 1))
+    both = at.withColumn("_more", F.explode(runs)).withColumn("span_j", F.col("span_i") + F.col("_more"))
+    text = F.array_join(F.slice("_ws", F.lit(1), F.col("_more") + 1), " ")
+    spanned = both.withColumn("span_text", T.bound(T.normalise_line(text, False))).drop("_sure", "_ws", "_all", "_more").where("span_text IS NOT NULL")
     return spanned.where(T.char_count(F.col("span_text")).between(low, high))
 
 

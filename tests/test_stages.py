@@ -206,6 +206,17 @@ def test_white_space_of_every_kind(spark):
     assert [(r["s"], r["c"], r["w"], r["d"]) for r in got] == [(x.strip(), " ".join(x.split()), x.split(), "".join(x.split())) for x in texts]
 
 
+def test_spans_of_a_very_long_line(spark):
+    # each span once carried its whole line along
+    words = [f"w{'abcdefg'[i % 7] * (i % 7)}" for i in range(60000)]
+    df = spark.createDataFrame([(1, words), (2, ["a\u200db", "cc dd", "", "e"]), (3, ["e\u0301x", "yy", "z"])], "seq int, words array<string>")
+    got = {(r["seq"], r["span_i"], r["span_j"]) for r in L.word_spans(df, "words", 5, 8).select("seq", "span_i", "span_j").collect()}
+    size = [len(w) for w in words]
+    want = {(1, i, j) for i in range(len(words)) for j in range(i, min(i + 9, len(words))) if 5 <= sum(size[i : j + 1]) + j - i <= 8}
+    assert {g for g in got if g[0] == 1} == want
+    assert {g for g in got if g[0] > 1} == {(2, 0, 1), (2, 1, 1), (2, 0, 2), (2, 1, 2), (2, 1, 3), (3, 0, 1), (3, 0, 2)}
+
+
 def test_sources_without_a_name_share_one_cap(spark):
     rows = [(i, None if i % 2 else "", "hard" if i < 6 else "normal", 5.0, 9, i >= 6) for i in range(12)]
     df = spark.createDataFrame(rows, "seq bigint, source_id string, difficulty string, complexity_score double, word_count int, is_ordinary boolean")
